@@ -30,7 +30,7 @@ BAND_COLUMNS = ("hash1", "hash2", "hash3")
 # Bytes of text turned into shingles at a time, and shingles hashed at a time: the first bounds the
 # memory of a task whatever the length of a document, the second keeps the working set in cache.
 _SLICE_BYTES = 1 << 20
-_CHUNK = 1 << 15
+_CHUNK = 1 << 16
 
 
 @lru_cache(maxsize=16)

@@ -80,12 +80,18 @@ def bucket_rank(banded: DataFrame, id_column: str = "id") -> DataFrame:
     """``banded`` with ``DupRank``, the 1-based place by id in the bucket, and ``survivor``, its lowest id.
 
     Rows are ranked inside each (bucket, piece).  Only the first bucket of a piece can have begun in
-    an earlier one, so what has to be added is at most one row per piece and is broadcast.  The range
-    partitioner reads its input twice, so pass bands that have been written, not ones to be computed.
+    an earlier one, so both what is counted and what has to be added are a few rows per piece, and are
+    broadcast.  The range partitioner reads its input twice, so pass bands that have been written, not
+    ones to be computed.
     """
     cut = _pieces(banded.select(id_column, *BAND), [*BAND, id_column], "piece")
     group = [*BAND, "piece"]
-    counts = cut.groupBy(*group).agg(F.count("*").alias("n"), F.min(id_column).alias("low"))
+    heads = cut.groupBy("piece").agg(F.min(F.struct(*BAND)).alias("head")).select("head.*").distinct()
+    counts = (
+        cut.join(F.broadcast(heads), BAND, "left_semi")
+        .groupBy(*group)
+        .agg(F.count("*").alias("n"), F.min(id_column).alias("low"))
+    )
     earlier = Window.partitionBy(*BAND).orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
     begun = counts.select(
         *group, F.sum("n").over(earlier).alias("before"), F.min("low").over(earlier).alias("lowest")

@@ -37,7 +37,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents, spread over the cores where the file is one split; signatures are CPU work."""
+    """Documents for CPU-bound work, spread over the cores where the file is a single split."""
     return spread_scan(table(spark, sf_dir, "documents"), "doc_id")
 
 
@@ -45,13 +45,17 @@ def turn_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return standardize.turn_pairs(table(spark, sf_dir, "conversations"))
 
 
-def _map(**columns: Callable[[str], Column]) -> Query:
+def _map(scan: Query, **columns: Callable[[str], Column]) -> Query:
     """A map-only query over documents: each column is a function of the text."""
-    return lambda spark, sf_dir: table(spark, sf_dir, "documents").select(
+    return lambda spark, sf_dir: scan(spark, sf_dir).select(
         "doc_id", *(make("text").alias(name) for name, make in columns.items())
     )
 
 
+def plain_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents")
+
+
 def _prompted(template: Callable[[str], Column]) -> Query:
     return lambda spark, sf_dir: turn_pairs(spark, sf_dir).select(
         "conv_id", "turn", template("prompt").alias("prompt")
@@ -119,7 +123,7 @@ def shingle_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def min_length_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").withColumnRenamed("text", "prompt")
+    docs = documents(spark, sf_dir).withColumnRenamed("text", "prompt")
     return quality.min_length(docs, threshold=50).select("doc_id", "text")
 
 
@@ -154,7 +158,7 @@ def sql_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
         "cut_at_stop(concat(text, '<|endoftext|>')) AS answer, "
         "round(CAST(minhash_score(array(1, 2, CAST(n_chars AS INT)), array(1, 2, 3)) AS DOUBLE), 6) AS score "
         "FROM {docs}",
-        docs=table(spark, sf_dir, "documents"),
+        docs=documents(spark, sf_dir),
     )
 
 
@@ -163,7 +167,7 @@ def sql_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def entity_scrub(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rules find the entities, the general operator replaces them."""
-    docs = table(spark, sf_dir, "documents").withColumn("found", entities.detect_patterns("text"))
+    docs = documents(spark, sf_dir).withColumn("found", entities.detect_patterns("text"))
     return entities.scrub_prompts(docs, "found", "text").select(
         "doc_id", "text", F.size("found").alias("n_entities")
     )
@@ -221,7 +225,7 @@ def gold_set(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, aside = quality.split_quality(table(spark, sf_dir, "documents"), "text", ["lang"], threshold=50)
+    _, aside = quality.split_quality(documents(spark, sf_dir), "text", ["lang"], threshold=50)
     return aside.select("doc_id", F.array_join("reason", ",").alias("reason"))
 
 
@@ -396,13 +400,13 @@ QUERIES: dict[str, Query] = {
     "minhash_signatures": minhash_signatures,
     "band_hashes": band_hashes,
     "shingle_counts": shingle_counts,
-    "lowercase": _map(text=F.lower),
-    "strip_punctuation": _map(text=text.strip_punctuation),
-    "collapse_whitespace": _map(text=text.collapse_whitespace),
-    "normalize_text": _map(text=text.normalize),
-    "remove_bad_characters": _map(text=text.remove_bad_characters),
-    "nfc_text": _map(text=text.nfc),
-    "text_length": _map(n=F.length, long=lambda c: text.longer_than(c, 50)),
+    "lowercase": _map(plain_documents, text=F.lower),
+    "strip_punctuation": _map(documents, text=text.strip_punctuation),
+    "collapse_whitespace": _map(documents, text=text.collapse_whitespace),
+    "normalize_text": _map(documents, text=text.normalize),
+    "remove_bad_characters": _map(documents, text=text.remove_bad_characters),
+    "nfc_text": _map(documents, text=text.nfc),
+    "text_length": _map(plain_documents, n=F.length, long=lambda c: text.longer_than(c, 50)),
     "min_length_filter": min_length_filter,
     "prompt_training": prompt_training,
     "prompt_inference": _prompted(prompts.inference_prompt),
@@ -411,7 +415,7 @@ QUERIES: dict[str, Query] = {
     "reply_extract": reply_extract,
     "json_extract": json_extract,
     "sql_functions": sql_functions,
-    "rule_pii_scrub": _map(text=entities.scrub_patterns),
+    "rule_pii_scrub": _map(documents, text=entities.scrub_patterns),
     "entity_scrub": entity_scrub,
     "entity_scrub_detector": entity_scrub_detector,
     "standardize_sources": standardize_sources,

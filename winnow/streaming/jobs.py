@@ -8,12 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from winnow.operators import dedup, quality, upsert
-from winnow.session import materialize
+from winnow.session import materialize, spread_scan
 from winnow.sources.ingest import stamp
 
 ONCE: Mapping[str, object] = {"availableNow": True}
@@ -45,15 +45,6 @@ def to_silver(
     return append_stream(clean(stream), path, checkpoint, trigger)
 
 
-def _earlier(spark: SparkSession, path: str, batch: int, columns: Sequence[str]) -> DataFrame | None:
-    """The given columns of all batches before this one, or None at the very first."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
-        return None
-    table = spark.read.parquet(path)
-    return table.where(F.col("batch_id") < batch).select(*columns)
-
-
 def to_deduplicated(
     stream: DataFrame,
     path: str,
@@ -67,16 +58,18 @@ def to_deduplicated(
     Duplicates inside a batch go to the quarantine with a reason, and so do survivors whose band an
     earlier batch has kept and rows whose prompt has no shingle.  A batch overwrites its own ``batch_id`` partition and looks at earlier ones only, so running
     it again after a failure changes nothing.  Of the kept table only the band columns are read.
+    ``path`` and ``checkpoint`` belong together; start a new table with a new checkpoint.
     """
+    index = ", ".join(f"{c} int" for c in [*dedup.BAND, "batch_id"])
 
     def one_batch(rows: DataFrame, batch: int) -> None:
-        # the batch feeds two outputs; keep it from being read and hashed for each
-        rows = materialize(rows, "batch")
-        spark = rows.sparkSession
+        # the batch has several readers, and its files may be few and large
+        rows = spread_scan(materialize(rows, "batch"), id_column)
         good, aside = quality.split_quality(rows, prompt)
         kept, quarantine = dedup.split_duplicates(good, id_column, prompt)
-        known = _earlier(spark, f"{path}/kept", batch, dedup.BAND)
-        if known is not None:
+        if batch > 0:
+            bands = rows.sparkSession.read.schema(index).parquet(f"{path}/kept")
+            known = bands.where(F.col("batch_id") < batch).select(*dedup.BAND)
             seen = kept.join(known, dedup.BAND, "left_semi").select(*quarantine.columns)
             quarantine = quarantine.unionByName(seen)
             kept = upsert.not_matched(kept, known, dedup.BAND)
