@@ -1,0 +1,161 @@
+import glob
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from winnow.plans import training_set
+from winnow.session import build_session, shared_dir, spread_scan
+from winnow.sources import export, ingest, tables
+
+SCHEMA = "prompt string, response string, source string"
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "json"])
+def test_declared_schema_refuses_nulls(spark, tmp_path, fmt):
+    data = [("p", "r", "s"), ("é \"quoted\"\n", "", "s")]
+    good = f"{tmp_path}/good"
+    spark.createDataFrame(data, SCHEMA).write.format(fmt).save(good)
+    assert rows(ingest.load_declared(spark, good, fmt=fmt)) == sorted(data, key=repr)
+    bad = f"{tmp_path}/bad"
+    spark.createDataFrame([("p", None, "s")], SCHEMA).write.format(fmt).option("ignoreNullFields", "false").save(bad)
+    with pytest.raises(Exception, match="null in non-null column response"):
+        ingest.load_declared(spark, bad, fmt=fmt).collect()
+
+
+def test_strings_and_splits(spark, tmp_path):
+    for name in ("train", "test"):
+        spark.range(3).select("id", F.lit(1.5).alias("x")).write.csv(f"{tmp_path}/{name}", header=True)
+    paths = {name: f"{tmp_path}/{name}" for name in ("train", "test")}
+    loaded = ingest.load_as_strings(spark, paths["train"], "csv", header="true")
+    assert loaded.dtypes == [("id", "string"), ("x", "string")]
+    assert set(ingest.load_splits(spark, paths, fmt="csv")) == {"train", "test"}
+    assert set(ingest.load_splits(spark, {"train": paths["train"]}, fmt="csv")) == {"train"}
+    with pytest.raises(ValueError, match="train"):
+        ingest.load_splits(spark, {"test": paths["test"]})
+
+
+def test_any_connector(spark):
+    assert ingest.load_stream(spark, "rate", {"rowsPerSecond": "1"}).isStreaming
+    with pytest.raises(Exception, match="(?i)no_such|find"):
+        ingest.load(spark, "no_such_connector")
+
+
+def test_stamp(spark):
+    assert ingest.stamp(spark.range(1)).dtypes[-1] == ("update_timestamp", "timestamp")
+    assert ingest.stamp(spark.range(50).repartition(5)).select("update_timestamp").distinct().count() == 1
+
+
+def test_table_lifecycle(spark):
+    tables.use_database(spark, "lifecycle")
+    try:
+        tables.create(spark, "bronze", "prompt string, response string")
+        assert spark.table("bronze").count() == 0
+        tables.append(spark.createDataFrame([("r", "p")], "response string, prompt string"), "bronze")
+        tables.append(spark.createDataFrame([("p2", "r2")], "prompt string, response string"), "bronze")
+        assert rows(spark.table("bronze")) == [("p", "r"), ("p2", "r2")]
+        tables.clone_empty(spark, "bronze", "clean")
+        tables.insert_query(spark, "clean", "SELECT response, prompt FROM bronze", ["response", "prompt"])
+        tables.insert_query(spark, "clean", "SELECT 'x', 'y'")
+        assert tables.clone_empty(spark, "bronze", "clean").count() == 3
+        view = tables.publish_view(spark, "gold", "clean", ["prompt"])
+        assert rows(view) == [("p",), ("p2",), ("x",)]
+        tables.publish_view(spark, "gold", "clean", ["response"])
+        assert spark.table("gold").columns == ["response"]
+        tables.create(spark, "bronze", "a int")
+        assert spark.table("bronze").columns == ["a"]
+        tables.drop(spark, "bronze")
+        assert not spark.catalog.tableExists("bronze")
+    finally:
+        spark.catalog.setCurrentDatabase("default")
+
+
+def test_bucketed_table_joins_without_shuffling_texts(spark, documents):
+    spark.sql("DROP TABLE IF EXISTS silver_bucketed")
+    silver = tables.append(documents, "silver_bucketed", bucket_by=("doc_id", 8))
+    narrow = documents.select("doc_id", F.length("text").alias("n")).repartition(3)
+    joined = silver.join(narrow.hint("merge"), "doc_id")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    text_side = plan[plan.index("SortMergeJoin"):].split("Exchange")[0]
+    assert "silver_bucketed" in text_side
+    assert joined.count() == documents.count()
+
+
+def test_compact(spark, tmp_path, documents):
+    documents.repartition(40, "doc_id").write.parquet(f"{tmp_path}/many")
+    out = tables.compact(spark, f"{tmp_path}/many", f"{tmp_path}/few")
+    assert rows(out) == rows(documents)
+    assert len(glob.glob(f"{tmp_path}/many/*.parquet")) > 30
+    assert len(glob.glob(f"{tmp_path}/few/*.parquet")) < 5
+    # a hot value does not make one huge file
+    spark.range(200000).select(F.lit("same").alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("v")).repartition(
+        8
+    ).write.parquet(f"{tmp_path}/hot")
+    assert tables.compact(spark, f"{tmp_path}/hot", f"{tmp_path}/even", 2 << 20).count() == 200000
+    assert len(glob.glob(f"{tmp_path}/even/*.parquet")) >= 4
+
+
+def test_shards_and_index(spark, tmp_path):
+    pairs = spark.range(1000).select(
+        F.when(F.col("id") % 3 == 0, "same").otherwise(F.concat(F.lit("é"), F.col("id").cast("string"))).alias("prompt"),
+        F.when(F.col("id") != 5, "r").alias("response"),
+    )
+    path = f"{tmp_path}/out"
+    export.write_shards(pairs.limit(10), path)
+    index = export.write_shards(pairs, path).collect()
+    assert len(index) == 8
+    assert sum(r.n_rows for r in index) == 1000
+    assert max(r.n_rows for r in index) <= 130
+    expected = sum(len(r.prompt.encode()) + len(r.response or "") for r in pairs.collect())
+    assert sum(r.text_bytes for r in index) == expected
+    assert all(r.file_bytes > 0 for r in index)
+    assert {r.shard for r in index} == {f.split("/")[-1] for f in glob.glob(f"{path}/shards/*.parquet")}
+    report = export.verify(pairs, export.read_shards(spark, path)).first().asDict()
+    assert report == {
+        "expected_rows": 1000, "written_rows": 1000, "expected_nulls": 1, "written_nulls": 1,
+        "missing_rows": 0, "extra_rows": 0,
+    }
+    short = export.verify(pairs, export.read_shards(spark, path).where("prompt <> 'é1'")).first()
+    assert (short.missing_rows, short.extra_rows) == (1, 0)
+    assert len(export.write_shards(pairs, f"{tmp_path}/cut", shards=2, max_rows_per_file=100).collect()) in (10, 11)
+    empty = export.write_shards(pairs.limit(0), f"{tmp_path}/empty")
+    assert export.verify(pairs.limit(0), export.read_shards(spark, f"{tmp_path}/empty")).first().expected_rows == 0
+    assert sum(r.n_rows for r in empty.collect()) == 0
+
+
+def test_digest_tells_null_from_empty(spark):
+    df = spark.createDataFrame([("a", None), ("a", ""), (None, "a"), ("", "a"), ("a:1", "b"), ("a", "1:b")], "prompt string, response string")
+    assert df.select(export.row_digest(export.EXPORT_COLUMNS)).distinct().count() == 6
+
+
+def test_jsonl(spark, tmp_path):
+    data = [("é\"q\"\n/", "r"), ("p", None), ("日本", "")]
+    df = spark.createDataFrame(data, "prompt string, response string")
+    export.write_jsonl(df, f"{tmp_path}/j")
+    lines = [json.loads(line) for f in glob.glob(f"{tmp_path}/j/*.json") for line in open(f, encoding="utf-8")]
+    assert sorted(((x["prompt"], x["response"]) for x in lines), key=repr) == sorted(data, key=repr)
+    assert rows(export.read_jsonl(spark, f"{tmp_path}/j")) == sorted(data, key=repr)
+
+
+def test_export_splits(spark, tmp_path, documents):
+    gold = documents.select(F.col("text").alias("prompt"), F.col("lang").alias("response"), "source")
+    indexes = training_set.export_splits(gold, f"{tmp_path}/x")
+    assert set(indexes) == {"train", "test"}
+    total = sum(i.agg(F.sum("n_rows")).first()[0] for i in indexes.values())
+    assert total == documents.count()
+    assert sum(export.read_jsonl(spark, f"{tmp_path}/x/jsonl/{n}").count() for n in indexes) == total
+
+
+def test_shared_folder_is_the_one_of_the_session(spark):
+    assert shared_dir(spark) == spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    assert build_session() is not None
+
+
+def test_spread_only_small_scans(spark, documents):
+    assert spread_scan(documents, "doc_id").rdd.getNumPartitions() == 16
+    many = spark.range(0, 100, 1, 64)
+    assert spread_scan(many, "id") is many
