@@ -180,7 +180,9 @@ def signature_udf(num_hashes: int = NUM_HASHES, seed: int = SEED):
 
     @F.arrow_udf("array<int>")
     def minhash_signature(texts: pa.Array) -> pa.Array:
-        return _signatures_of(texts, pairs)
+        # copies of a text in the same batch are hashed once
+        distinct = texts.dictionary_encode()
+        return _signatures_of(distinct.dictionary, pairs).take(distinct.indices)
 
     return minhash_signature
 
@@ -197,8 +199,9 @@ def fingerprints_udf():
     def shingle_fingerprints(texts: pa.Array) -> pa.Array:
         keys = [np.empty(0, np.int64)]
         for rows, prints in _shingle_batches(texts):
-            keys.append(np.unique((rows.astype(np.int64) << 30) | prints))
-        merged = np.unique(np.concatenate(keys))
+            keys.append((rows.astype(np.int64) << 30) | prints)
+        merged = np.sort(np.concatenate(keys))
+        merged = merged[np.diff(merged, prepend=-1) != 0]
         sizes = np.bincount(merged >> 30, minlength=len(texts))
         nulls = texts.is_null().to_numpy(zero_copy_only=False)
         return _list_array((merged & FINGERPRINT_MASK).astype(np.int32), sizes, nulls)

@@ -59,7 +59,7 @@ def generate(
 ) -> DataFrame:
     """``df`` with the raw ``reply`` and the ``answer`` in it, cut at the row's stop marker.
 
-    ``load`` runs once in each Python worker; its result maps a list of requests to a list of replies
+    ``load`` runs once per task; its result maps a list of requests to a list of replies
     in JSON.  Rows with a null prompt get a null reply without being sent.
     """
 
