@@ -57,6 +57,17 @@ def test_detector_is_loaded_once_per_worker_and_skips_nulls(values):
     ]
 
 
+def test_detector_in_sql(spark):
+    def load():
+        return lambda texts: [[{"word": "Bob", "entity_group": "PER", "score": 0.95}] for _ in texts]
+
+    from winnow.functions.sql import register_all
+
+    register_all(spark)
+    spark.udf.register("detect_names", entities.detector_udf(load))
+    assert spark.sql("SELECT scrub_entities(t, detect_names(t)) FROM VALUES ('Bob ran') AS v(t)").first()[0] == "PER ran"
+
+
 def test_patterns(values):
     texts = ["mail a.b+c@x-y.example.com now", "ip 10.0.0.255!", "card 1234-5678 9012 3456", "call +49 170 123 4567", None]
     assert values(entities.scrub_patterns, texts) == ["mail EMAIL now", "ip IP!", "card CARD", "call PHONE", None]

@@ -53,21 +53,31 @@ def keep_first(df: DataFrame, id_column: str = "id", prompt: str = "prompt") ->
 
 
 def split_duplicates(
-    df: DataFrame, id_column: str = "id", prompt: str = "prompt", num_hashes: int | None = None
+    df: DataFrame,
+    id_column: str = "id",
+    prompt: str = "prompt",
+    num_hashes: int | None = None,
+    known: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """``(kept, quarantine)`` with band columns, disjoint and together all rows that have a shingle.
 
-    With ``num_hashes`` the whole signature is carried as ``hashes``.  Signatures are computed once
-    and written; texts are only ever joined on the unique id.
+    With ``num_hashes`` the whole signature is carried as ``hashes``.  ``known`` holds the bands kept
+    earlier; whatever falls into one of them is quarantined.  Signatures are computed once and written,
+    all decisions are taken on ids and bands, and texts are only ever joined on the unique id.
     """
     if num_hashes is None:
         signed = bands(df, id_column, prompt)
     else:
         signed = signatures(df, id_column, prompt, num_hashes)
     signed = materialize(signed, "signatures")
-    first = survivors(signed, id_column).select(id_column)
-    kept = df.join(signed.join(first, id_column, "left_semi"), id_column)
-    quarantine = df.join(signed.join(first, id_column, "left_anti"), id_column)
+    first = survivors(signed, id_column)
+    if known is not None:
+        # only bands that occur here matter: while they are few, the known ones are scanned, not shuffled
+        seen = known.select(*BAND).join(first.select(*BAND), BAND, "left_semi")
+        first = first.join(seen, BAND, "left_anti")
+    first_ids = first.select(id_column)
+    kept = df.join(signed.join(first_ids, id_column, "left_semi"), id_column)
+    quarantine = df.join(signed.join(first_ids, id_column, "left_anti"), id_column)
     return kept, quarantine
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from winnow.operators import dedup, quality, upsert
+from winnow.operators import dedup, quality
 from winnow.session import materialize, spread_scan
 from winnow.sources.ingest import stamp
 
@@ -66,13 +66,11 @@ def to_deduplicated(
         # the batch has several readers, and its files may be few and large
         rows = spread_scan(materialize(rows, "batch"), id_column)
         good, aside = quality.split_quality(rows, prompt)
-        kept, quarantine = dedup.split_duplicates(good, id_column, prompt)
+        known = None
         if batch > 0:
-            bands = rows.sparkSession.read.schema(index).parquet(f"{path}/kept")
-            known = bands.where(F.col("batch_id") < batch).select(*dedup.BAND)
-            seen = kept.join(known, dedup.BAND, "left_semi").select(*quarantine.columns)
-            quarantine = quarantine.unionByName(seen)
-            kept = upsert.not_matched(kept, known, dedup.BAND)
+            earlier = rows.sparkSession.read.schema(index).parquet(f"{path}/kept")
+            known = earlier.where(F.col("batch_id") < batch)
+        kept, quarantine = dedup.split_duplicates(good, id_column, prompt, known=known)
         quarantine = quarantine.withColumn("reason", F.array(F.lit("near_duplicate")))
         quarantine = quarantine.unionByName(aside, allowMissingColumns=True)
         for name, part in (("quarantine", quarantine), ("kept", kept)):
