@@ -75,6 +75,12 @@ def test_patterns(values):
     assert scrubbed == ["mail EMAIL now", "ip IP!", "card CARD", "call PHONE", None]
 
 
+def test_own_patterns(values):
+    own = {"EMAIL": "[0-9]+", "WORD": "cat"}
+    assert values(lambda c: entities.scrub_patterns(c, own), ["12 cat"]) == ["EMAIL WORD"]
+    assert values(lambda c: entities.scrub(c, entities.detect_patterns(c, own)), ["12 cat"]) == ["EMAIL WORD"]
+
+
 # ---- ids --------------------------------------------------------------------------------------
 
 

@@ -66,9 +66,17 @@ def reply_text(reply: Column | str) -> Column:
     return F.get_json_object(_col(reply), REPLY_TEXT_PATH)
 
 
-def replace_patterns(text: Column | str, patterns: Mapping[str, str]) -> Column:
-    """Replace every match of each pattern by its label, in the order of ``patterns``."""
+def replace_patterns(
+    text: Column | str, patterns: Mapping[str, str], needs: Mapping[str, str] | None = None
+) -> Column:
+    """Replace every match of each pattern by its label, in the order of ``patterns``.
+
+    ``needs`` names, by label, a character without which a pattern cannot match; texts that lack it are
+    passed over without running the expression.
+    """
     out = _col(text)
     for label, pattern in patterns.items():
-        out = F.regexp_replace(out, pattern, label)
+        replaced = F.regexp_replace(out, pattern, label)
+        needed = (needs or {}).get(label)
+        out = replaced if needed is None else F.when(out.contains(needed), replaced).otherwise(out)
     return out

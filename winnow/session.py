@@ -58,8 +58,9 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 def spread_scan(df: DataFrame, key: str) -> DataFrame:
     """Spread a bare table scan over the cores when its files give fewer splits than there are cores.
 
-    At scale a scan has many more splits than cores and comes back unchanged, without a shuffle.
+    At scale a scan has many more splits than cores and comes back unchanged, without a shuffle.  The
+    number of parts is left to adaptive execution, so a small table on a large cluster stays in a few.
     ``key`` must be unique.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(2 * cores, key) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(key) if df.rdd.getNumPartitions() < cores else df
