@@ -159,3 +159,26 @@ def test_spread_only_small_scans(spark, documents):
     assert "Exchange" in spread_scan(documents, "doc_id")._jdf.queryExecution().executedPlan().toString()
     many = spark.range(0, 100, 1, 64)
     assert spread_scan(many, "id") is many
+
+
+def test_insert_new_and_store_are_repeatable(spark, documents):
+    tables.use_database(spark, "storing")
+    try:
+        batch = documents.select(
+            F.col("doc_id").alias("id"), F.col("text").alias("prompt"), F.col("lang").alias("response"), "source"
+        )
+        first, second = batch.where("id < 120"), batch
+        for rows_in in (first, second, second):
+            tables.insert_new(rows_in, "silver")
+        assert rows(spark.table("silver")) == rows(batch)
+        for _ in range(2):
+            gold = training_set.store(training_set.build(first), "kept", "quarantine", "gold")
+        early = gold.count()
+        bands = spark.table("kept").select("hash1", "hash2", "hash3")
+        later = training_set.build(batch.where("id >= 120"), known=bands)
+        gold = training_set.store(later, "kept", "quarantine", "gold")
+        assert early < gold.count() == 182
+        assert spark.table("kept").count() + spark.table("quarantine").count() == 200
+        assert gold.columns == ["prompt", "response", "source"]
+    finally:
+        spark.catalog.setCurrentDatabase("default")

@@ -62,8 +62,9 @@ def split_duplicates(
     """``(kept, quarantine)`` with band columns, disjoint and together all rows that have a shingle.
 
     With ``num_hashes`` the whole signature is carried as ``hashes``.  ``known`` holds the bands kept
-    earlier; whatever falls into one of them is quarantined.  Signatures are computed once and written,
-    all decisions are taken on ids and bands, and texts are only ever joined on the unique id.
+    earlier; whatever falls into one of them is quarantined.  All decisions are taken on ids and bands,
+    and texts are only ever joined on the unique id.  Signatures and surviving ids are written at once:
+    both results rest on the same decisions, even if ``known`` is a table that they are appended to.
     """
     if num_hashes is None:
         signed = bands(df, id_column, prompt)
@@ -75,7 +76,7 @@ def split_duplicates(
         # only bands that occur here matter: while they are few, the known ones are scanned, not shuffled
         seen = known.select(*BAND).join(first.select(*BAND), BAND, "left_semi")
         first = first.join(seen, BAND, "left_anti")
-    first_ids = first.select(id_column)
+    first_ids = materialize(first.select(id_column), "survivors")
     kept = df.join(signed.join(first_ids, id_column, "left_semi"), id_column)
     quarantine = df.join(signed.join(first_ids, id_column, "left_anti"), id_column)
     return kept, quarantine

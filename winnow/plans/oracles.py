@@ -226,3 +226,5 @@ ORACLES: dict[str, str] = {
     "stream_dedup": KEPT + "= 1",
     "stream_drop_repeats": f"WITH {bands()} SELECT DISTINCT {BAND} FROM bands",
 }
+ORACLES["table_upsert"] = ORACLES["upsert_by_id"]
+ORACLES["gold_view"] = ORACLES["gold_set"]

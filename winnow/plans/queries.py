@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -272,12 +273,21 @@ def load_declared(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.load_declared(spark, path)
 
 
-def table_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bronze by append, clean by clone and insert, gold by view, in a database of its own."""
+@contextmanager
+def own_database(spark: SparkSession) -> Iterator[None]:
+    """A new database in the shared folder as the current one, for as long as it is being filled."""
     home = spark.catalog.currentDatabase()
     name = f"winnow_{uuid.uuid4().hex}"
     tables.use_database(spark, name, f"{shared_dir(spark)}/winnow/{name}")
     try:
+        yield
+    finally:
+        spark.catalog.setCurrentDatabase(home)
+
+
+def table_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze by append, clean by clone and insert, gold by view, in a database of its own."""
+    with own_database(spark):
         tables.create(spark, "bronze", "prompt string, response string, source string, update_timestamp timestamp")
         pairs = turn_pairs(spark, sf_dir).select("prompt", "response", F.lit(INSTRUCT).alias("source"))
         docs = table(spark, sf_dir, "documents").select(
@@ -290,8 +300,24 @@ def table_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
         tables.insert_query(spark, "clean", f"SELECT {', '.join(columns)} FROM bronze", columns)
         tables.drop(spark, "bronze")
         return tables.publish_view(spark, "gold", "clean", training_set.GOLD_COLUMNS)
-    finally:
-        spark.catalog.setCurrentDatabase(home)
+
+
+def table_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled documents are in the table when all of them arrive, twice."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    known = docs.join(table(spark, sf_dir, "labels"), "doc_id", "left_semi")
+    with own_database(spark):
+        tables.insert_new(known.withColumn("origin", F.lit("target")), "target", "doc_id")
+        for _ in range(2):
+            tables.insert_new(docs.withColumn("origin", F.lit("inserted")), "target", "doc_id")
+        return spark.table("target")
+
+
+def gold_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gold set by way of tables and a view."""
+    built = training_set.build(_silver(spark, sf_dir))
+    with own_database(spark):
+        return training_set.store(built, "kept", "quarantine", "gold")
 
 
 def compact_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -429,6 +455,8 @@ QUERIES: dict[str, Query] = {
     "load_splits": load_splits,
     "load_declared": load_declared,
     "table_lifecycle": table_lifecycle,
+    "table_upsert": table_upsert,
+    "gold_view": gold_view,
     "compact_table": compact_table,
     "preview": preview,
     "hash_split": hash_split,

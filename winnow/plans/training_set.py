@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from winnow.functions.prompts import format_prompt
 from winnow.operators import dedup, entities, ids, quality, split, standardize
-from winnow.sources import export
+from winnow.sources import export, tables
 
 GOLD_COLUMNS = ("prompt", "response", "source")
 
@@ -52,13 +52,26 @@ def silver(frames: Sequence[DataFrame], order_by: Sequence[str] = (), start: int
     return ids.assign_ids(standardize.consolidate(frames), order_by, start)
 
 
-def build(silver_rows: DataFrame, threshold: int | None = None) -> TrainingSet:
-    """Set aside rows that cannot be used and near-duplicates of rows with a lower id."""
+def build(
+    silver_rows: DataFrame, threshold: int | None = None, known: DataFrame | None = None
+) -> TrainingSet:
+    """Set aside rows that cannot be used and near-duplicates of rows with a lower id.
+
+    ``known`` holds the bands that earlier batches have kept; their near-duplicates are set aside too.
+    """
     good, rejected = quality.split_quality(silver_rows, required=["response"], threshold=threshold)
-    kept, duplicates = dedup.split_duplicates(good)
+    kept, duplicates = dedup.split_duplicates(good, known=known)
     return TrainingSet(kept, duplicates, rejected)
 
 
+def store(built: TrainingSet, kept_table: str, quarantine_table: str, gold_view: str) -> DataFrame:
+    """Insert the rows that are new by id into both tables and publish the gold columns as a view."""
+    spark = built.kept.sparkSession
+    tables.insert_new(built.kept, kept_table)
+    tables.insert_new(built.quarantine, quarantine_table)
+    return tables.publish_view(spark, gold_view, kept_table, GOLD_COLUMNS)
+
+
 def export_splits(
     gold: DataFrame, path: str, weights: Mapping[str, float] | None = None, shards: int = export.SHARDS
 ) -> dict[str, DataFrame]:

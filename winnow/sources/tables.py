@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from winnow.operators.upsert import not_matched
+
 
 def use_database(spark: SparkSession, name: str, location: str | None = None) -> None:
     where = f" LOCATION '{location}'" if location else ""
@@ -46,6 +48,18 @@ def append(
     return spark.table(name)
 
 
+def insert_new(
+    df: DataFrame, name: str, on: str | Sequence[str] = "id", fmt: str = "parquet"
+) -> DataFrame:
+    """Append the rows whose key is not in the table yet, creating the table if need be.
+
+    Run again with the same rows it adds nothing.  The key must be unique in ``df``.
+    """
+    spark = df.sparkSession
+    new = not_matched(df, spark.table(name), on) if spark.catalog.tableExists(name) else df
+    return append(new, name, fmt)
+
+
 def insert_query(spark: SparkSession, name: str, query: str, columns: Sequence[str] = ()) -> None:
     """``INSERT INTO name [(columns)] query``; without columns they are matched by position."""
     spark.sql(f"INSERT INTO {name}{' (' + ', '.join(columns) + ')' if columns else ''} {query}")

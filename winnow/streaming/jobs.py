@@ -56,8 +56,9 @@ def to_deduplicated(
     """Upsert a stream of rows into ``path/kept`` and ``path/quarantine``.
 
     Duplicates inside a batch go to the quarantine with a reason, and so do survivors whose band an
-    earlier batch has kept and rows whose prompt has no shingle.  A batch overwrites its own ``batch_id`` partition and looks at earlier ones only, so running
-    it again after a failure changes nothing.  Of the kept table only the band columns are read.
+    earlier batch has kept and rows whose prompt has no shingle.  A batch overwrites its own ``batch_id``
+    partition and looks at earlier ones only, so running it again after a failure changes nothing.  Of
+    the kept table only the band columns are read.
     ``path`` and ``checkpoint`` belong together; start a new table with a new checkpoint.
     """
     index = ", ".join(f"{c} int" for c in [*dedup.BAND, "batch_id"])
