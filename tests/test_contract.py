@@ -79,3 +79,15 @@ def test_no_cross_joins(spark):
         plan = plan_of(contract.queries()[name](spark, SF))
         assert "CartesianProduct" not in plan
         assert "BroadcastNestedLoopJoin" not in plan
+
+
+def test_texts_are_not_sorted_to_join_ids(spark, documents):
+    setting = "spark.sql.autoBroadcastJoinThreshold"
+    earlier = spark.conf.get(setting)
+    spark.conf.set(setting, "-1")
+    try:
+        kept = dedup.keep_first(documents, "doc_id", "text")
+        kept.collect()
+        assert "ShuffledHashJoin" in plan_of(kept).split("Initial Plan")[0]
+    finally:
+        spark.conf.set(setting, earlier)

@@ -22,7 +22,7 @@ from winnow.operators import (
     upsert,
 )
 from winnow.plans import training_set
-from winnow.session import materialize, new_path, shared_dir, spread_scan
+from winnow.session import materialize, new_path, spread_scan
 from winnow.sources import export, ingest, tables
 from winnow.streaming import jobs
 
@@ -278,7 +278,7 @@ def own_database(spark: SparkSession) -> Iterator[None]:
     """A new database in the shared folder as the current one, for as long as it is being filled."""
     home = spark.catalog.currentDatabase()
     name = f"winnow_{uuid.uuid4().hex}"
-    tables.use_database(spark, name, f"{shared_dir(spark)}/winnow/{name}")
+    tables.use_database(spark, name, new_path(spark, "database"))
     try:
         yield
     finally:

@@ -16,6 +16,9 @@ def build_session(app_name: str = "winnow", master: str | None = None, **setting
         SparkSession.builder.appName(app_name)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # joins of a narrow id table to texts: hash the narrow side where its parts are small at run time,
+        # instead of sorting the texts
+        .config("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "128MB")
         .config("spark.sql.session.timeZone", "UTC")
         # a record batch of long documents must fit a Python worker, so bound it by rows and by bytes
         .config("spark.sql.execution.arrow.maxRecordsPerBatch", "4096")
@@ -41,7 +44,8 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/winnow/{label}-{uuid.uuid4().hex}"
+    """A new path in the shared folder, below one folder per application."""
+    return f"{shared_dir(spark)}/winnow/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
