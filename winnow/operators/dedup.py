@@ -76,8 +76,10 @@ def split_duplicates(
         # only bands that occur here matter: while they are few, the known ones are scanned, not shuffled
         seen = known.select(*BAND).join(first.select(*BAND), BAND, "left_semi")
         first = first.join(seen, BAND, "left_anti")
-    first_ids = materialize(first.select(id_column), "survivors")
-    kept = df.join(signed.join(first_ids, id_column, "left_semi"), id_column)
+    first = materialize(first.select(id_column, *BAND), "survivors")
+    first_ids = first.select(id_column)
+    kept_rows = first if num_hashes is None else signed.join(first_ids, id_column, "left_semi")
+    kept = df.join(kept_rows, id_column)
     quarantine = df.join(signed.join(first_ids, id_column, "left_anti"), id_column)
     return kept, quarantine
 

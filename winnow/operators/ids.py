@@ -16,8 +16,8 @@ def assign_ids(
     """Add ids ``start, start + 1, ...``.
 
     With ``order_by``, a unique key, ids follow that order whatever the layout of the input; without,
-    they follow the order of the partitions and cost no shuffle.  The numbered rows are written once,
-    so an id never changes when a task is run again.  Offsets are one row per partition.
+    they follow the order of the partitions and cost no shuffle.  Rows and offsets, one per partition,
+    are written once, so an id never changes when a task is run again.
     """
     if order_by:
         df = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
@@ -27,6 +27,7 @@ def assign_ids(
     sizes = staged.groupBy(part).agg(F.count("*").alias("n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_offset"))
+    offsets = materialize(offsets, "offsets")
     numbered = staged.withColumn("_part", part).join(F.broadcast(offsets), "_part")
     place = F.col("_place").bitwiseAND((1 << 33) - 1)
     new_id = (F.lit(start) + F.col("_offset") + place).cast("bigint").alias(id_column)
