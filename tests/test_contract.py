@@ -91,3 +91,9 @@ def test_texts_are_not_sorted_to_join_ids(spark, documents):
         assert "ShuffledHashJoin" in plan_of(kept).split("Initial Plan")[0]
     finally:
         spark.conf.set(setting, earlier)
+
+
+def test_tables_may_be_folders(spark, documents, tmp_path):
+    documents.repartition(3, "doc_id").write.parquet(f"{tmp_path}/documents.parquet")
+    for name in ("near_dup_keep", "stream_dedup"):
+        assert contract.queries()[name](spark, str(tmp_path)).count() == 182

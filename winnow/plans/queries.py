@@ -375,8 +375,9 @@ def batch_inference(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table as a stream.  A file source takes a folder or a pattern; the pattern also fits a single file."""
     schema = table(spark, sf_dir, name).schema
-    return ingest.load_stream(spark, "parquet", {"pathGlobFilter": f"{name}.parquet"}, sf_dir, schema)
+    return ingest.load_stream(spark, "parquet", path=f"{sf_dir}/{name}.parque[t]", schema=schema)
 
 
 def _run(spark: SparkSession, start: Callable[[str, str], object]) -> str:
