@@ -30,6 +30,7 @@ def entity(word, group, score):
         ("Anna (Inc) a.c abc", [entity("Anna (Inc)", "ORG", 1.0), entity("a.c", "X", 1.0)], "ORG X abc"),
         ("keep", [entity("", "Z", 1.0)], "keep"),
         ("Bob", [entity("Bob", "PER", 1.0), entity("PER", "LOC", 1.0)], "LOC"),
+        ("Bob", [entity(None, "X", 1.0), entity("Bob", None, 1.0), entity("B", "X", float("nan")), None], "Bob"),
         ("none", [], "none"),
         ("none", None, "none"),
         (None, [entity("a", "b", 1.0)], None),
@@ -76,9 +77,9 @@ def test_patterns(values):
 
 
 def test_own_patterns(values):
-    own = {"EMAIL": "[0-9]+", "WORD": "cat"}
-    assert values(lambda c: entities.scrub_patterns(c, own), ["12 cat"]) == ["EMAIL WORD"]
-    assert values(lambda c: entities.scrub(c, entities.detect_patterns(c, own)), ["12 cat"]) == ["EMAIL WORD"]
+    own = {"EMAIL": "[0-9]+", "$1\\": "cat"}
+    assert values(lambda c: entities.scrub_patterns(c, own), ["12 cat"]) == ["EMAIL $1\\"]
+    assert values(lambda c: entities.scrub(c, entities.detect_patterns(c, own)), ["12 cat"]) == ["EMAIL $1\\"]
 
 
 # ---- ids --------------------------------------------------------------------------------------
@@ -166,10 +167,11 @@ def test_generate_sends_defaults_and_cuts(spark):
 
         return generate
 
-    df = spark.createDataFrame([(1, "q", None, "END"), (2, None, 5, None), (3, "q", 7, None)], "id int, prompt string, max_tokens int, stop string")
+    df = spark.createDataFrame([(1, "q", None, "END"), (2, None, 5, None), (3, "q", 7, None), (4, "q", 1, "")], "id int, prompt string, max_tokens int, stop string")
     got = {r.id: r for r in inference.generate(df, load).collect()}
     assert json.loads(got[1].answer) == {"max_tokens": 200, "temperature": 0.0}
     assert json.loads(got[3].answer) == {"max_tokens": 7, "temperature": 0.0}
+    assert got[4].answer.endswith("rest")
     assert got[2].answer is None and got[2].reply is None
     assert got[1].prompt == "q"
     assert got[1].request.endswith("### Instruction:\nq\n\n### Response:\n")

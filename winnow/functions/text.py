@@ -76,7 +76,8 @@ def replace_patterns(
     """
     out = _col(text)
     for label, pattern in patterns.items():
-        replaced = F.regexp_replace(out, pattern, label)
+        plain = label.replace("\\", "\\\\").replace("$", "\\$")
+        replaced = F.regexp_replace(out, pattern, plain)
         needed = (needs or {}).get(label)
         out = replaced if needed is None else F.when(out.contains(needed), replaced).otherwise(out)
     return out

@@ -136,23 +136,28 @@ def duplicate_pairs(banded: DataFrame, id_column: str = "id") -> DataFrame:
 
 
 def score_pairs(
-    pairs: DataFrame, signed: DataFrame, id_column: str = "id", min_score: float | None = None
+    pairs: DataFrame,
+    signed: DataFrame,
+    id_column: str = "id",
+    min_score: float | None = None,
+    repeated: Sequence[str] = ("a", "b"),
 ) -> DataFrame:
     """Add ``score`` to any given ``(a_id, b_id)`` pairs from a frame of ``(id, hashes)``.
 
-    One id may occur in a great many pairs, so each side is looked up by (id, piece): the hashes are
-    copied once to every piece that needs them and no join key is larger than a piece.
+    ``repeated`` names the sides whose ids may occur in a great many pairs.  Such a side is looked up by
+    (id, piece): the hashes are copied once to every piece that needs them and no join key is larger
+    than a piece.
     """
-    cut = _pieces(_pieces(pairs, ["a_id", "b_id"], "a_piece"), ["b_id", "a_id"], "b_piece")
-    hashes = signed.select(F.col(id_column).alias("_id"), "hashes")
-    found = cut
-    for side in ("a", "b"):
-        key = [f"{side}_id", f"{side}_piece"]
-        wanted = cut.select(*key).distinct()
-        copies = wanted.join(hashes, F.col(key[0]) == F.col("_id")).select(
-            *key, F.col("hashes").alias(f"{side}_hashes")
-        )
-        found = found.join(copies, key)
+    found, keys = pairs.select("a_id", "b_id"), {side: [f"{side}_id"] for side in "ab"}
+    for side in repeated:
+        found = _pieces(found, [f"{side}_id", "a_id" if side == "b" else "b_id"], f"{side}_piece")
+        keys[side].append(f"{side}_piece")
+    cut = found
+    for side, key in keys.items():
+        hashes = signed.select(F.col(id_column).alias(key[0]), F.col("hashes").alias(f"{side}_hashes"))
+        if side in repeated:
+            hashes = cut.select(*key).distinct().join(hashes, key[0])
+        found = found.join(hashes, key)
     score = minhash.overlap_score("a_hashes", "b_hashes").alias("score")
     scored = found.select("a_id", "b_id", score)
     return scored if min_score is None else scored.where(F.col("score") >= min_score)
@@ -163,4 +168,6 @@ def near_duplicates(
 ) -> DataFrame:
     """Every duplicate with its survivor and their signature score."""
     signed = materialize(signatures(df, id_column, prompt), "signatures")
-    return score_pairs(duplicate_pairs(signed, id_column), signed, id_column, min_score)
+    pairs = duplicate_pairs(signed, id_column)
+    # a duplicate occurs once, its survivor as often as its bucket is large
+    return score_pairs(pairs, signed, id_column, min_score, repeated=["a"])

@@ -76,6 +76,6 @@ def generate(
         F.col("request").alias("prompt"), "temperature", "max_tokens", "stop", "candidate_count"
     )
     answered = ready.withColumn("reply", ask(request))
-    answer = F.expr("substring_index(_text, stop, 1)")
+    answer = F.expr("CASE WHEN stop = '' THEN _text ELSE substring_index(_text, stop, 1) END")
     kept = [*df.columns, *(c for c in ("request", "reply") if c not in df.columns)]
     return answered.withColumn("_text", text.reply_text("reply")).withColumn("answer", answer).select(*kept, "answer")
