@@ -51,51 +51,52 @@ def coefficients(num_hashes: int = NUM_HASHES, seed: int = SEED) -> tuple[tuple[
     return tuple((1 + next_int(HASH_PRIME - 1), next_int(HASH_PRIME - 1)) for _ in range(num_hashes))
 
 
+# SHA-1 constants as arrays, which numpy need not convert on each of the many calls.
+_START = (0x67452301, 0xEFCDAB89, 0x98BADCFE, 0x10325476, 0xC3D2E1F0)
+_ROUND = [np.array(v, np.uint32) for v in (0x5A827999, 0x6ED9EBA1, 0x8F1BBCDC, 0xCA62C1D6)]
+_BITS = {n: np.array(n, np.uint32) for n in (1, 2, 5, 27, 30, 31)}
+
+
+def _rotate(x: np.ndarray, left: int, out: np.ndarray, spare: np.ndarray) -> None:
+    np.right_shift(x, _BITS[32 - left], spare)
+    np.left_shift(x, _BITS[left], out)
+    np.bitwise_or(out, spare, out)
+
+
 def _sha1_first_word(blocks: np.ndarray) -> np.ndarray:
-    """First SHA-1 state word of many one-block messages; ``blocks`` holds 16 rows of uint32 words."""
-    u32 = np.uint32
+    """First SHA-1 state word of many one-block messages; ``blocks`` holds 16 rows of uint32 words.
+
+    One pass over all messages per step: several times the speed of a hash object per shingle.
+    """
     w = list(blocks)
     size = blocks.shape[1]
-    a, b, c, d, e = (
-        np.full(size, v, u32) for v in (0x67452301, 0xEFCDAB89, 0x98BADCFE, 0x10325476, 0xC3D2E1F0)
-    )
-    f, g, t = (np.empty(size, u32) for _ in range(3))
+    a, b, c, d, e = (np.full(size, v, np.uint32) for v in _START)
+    f, g, t = (np.empty(size, np.uint32) for _ in range(3))
     for i in range(80):
-        word = w[i % 16]
+        word = w[i & 15]
         if i >= 16:
-            word ^= w[(i - 3) % 16]
-            word ^= w[(i - 8) % 16]
-            word ^= w[(i - 14) % 16]
-            np.right_shift(word, 31, out=t)
-            word <<= 1
-            word |= t
+            for back in (3, 8, 14):
+                np.bitwise_xor(word, w[(i - back) & 15], word)
+            _rotate(word, 1, word, t)
         if i < 20:
-            np.bitwise_xor(c, d, out=f)
-            f &= b
-            f ^= d
-            f += u32(0x5A827999)
+            np.bitwise_xor(c, d, f)
+            np.bitwise_and(f, b, f)
+            np.bitwise_xor(f, d, f)
         elif i < 40 or i >= 60:
-            np.bitwise_xor(b, c, out=f)
-            f ^= d
-            f += u32(0x6ED9EBA1 if i < 40 else 0xCA62C1D6)
+            np.bitwise_xor(b, c, f)
+            np.bitwise_xor(f, d, f)
         else:
-            np.bitwise_or(b, c, out=f)
-            f &= d
-            np.bitwise_and(b, c, out=g)
-            f |= g
-            f += u32(0x8F1BBCDC)
-        f += e
-        f += word
-        np.left_shift(a, 5, out=g)
-        np.right_shift(a, 27, out=t)
-        g |= t
-        f += g
-        np.left_shift(b, 30, out=g)
-        np.right_shift(b, 2, out=t)
-        g |= t
+            np.bitwise_or(b, c, f)
+            np.bitwise_and(f, d, f)
+            np.bitwise_and(b, c, g)
+            np.bitwise_or(f, g, f)
+        _rotate(a, 5, g, t)
+        for term in (_ROUND[i // 20], e, word, g):
+            np.add(f, term, f)
+        _rotate(b, 30, g, t)
         # f is the new a, g the rotated b; the arrays of e and b are free for the next round
         a, b, c, d, e, f, g = f, a, g, c, d, e, b
-    return a + u32(0x67452301)
+    return a + np.uint32(_START[0])
 
 
 def _fingerprints_of(data: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
