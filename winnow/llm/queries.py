@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from winnow.llm import bpe, shuffle
+from winnow.llm import bayes_dedup, bpe, mixing, quality_vote, secrets, shuffle, topk
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")  # the same vocabulary as the rank file
 SHARDS = 40
@@ -18,6 +18,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_term_at_a_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 highest integer inner products of every 50th vector with all others."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", topk.scaled("embedding").alias("vector"))
+    found = topk.top_k(vectors, vectors.where("vec_id % 50 = 0"), 5, "vec_id", "vector")
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
+OP1_SQL = """
+WITH c AS (
+  SELECT vec_id, i, CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) AS w
+  FROM (SELECT vec_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings)
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(sum(q.w * c.w) AS BIGINT) AS score
+  FROM c AS q JOIN c ON q.i = c.i AND q.vec_id <> c.vec_id
+  WHERE q.vec_id % 50 = 0 GROUP BY ALL
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
+def op2_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     ids = bpe.encode(docs, TOKENIZER).drop("text")
@@ -29,6 +56,23 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_linked_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(table(spark, sf_dir, "documents"), "text", keep=["doc_id"])
+    return found.select(
+        "doc_id",
+        *(secrets.count_kind("base", kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")),
+        F.sha2(secrets.span_string("base"), 256).alias("base_sha256"),
+        secrets.span_string("spans").alias("spans"),
+    )
+
+
+def op8_neighbour_vote(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality_vote.fit(docs, table(spark, sf_dir, "labels"))
+    scored = quality_vote.score(docs, model)
+    return scored.select("doc_id", quality_vote.held_out("doc_id").alias("held_out"), "score", "predicted")
+
+
 def op9_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return shuffle.shuffle_into_shards(docs, "text", SHARDS).select(
@@ -42,9 +86,18 @@ def op9_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_bayes_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bayes_dedup.near_duplicates(table(spark, sf_dir, "documents"), "doc_id", "text", width=2)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_term_at_a_time": op1_term_at_a_time,
+    "op2_pareto_mix": op2_pareto_mix,
     "op3_byte_bpe": op3_byte_bpe,
+    "op4_linked_secrets": op4_linked_secrets,
+    "op8_neighbour_vote": op8_neighbour_vote,
     "op9_external_shuffle": op9_external_shuffle,
+    "op10_bayes_minhash": op10_bayes_minhash,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op1_term_at_a_time": OP1_SQL}
