@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from winnow.llm import bayes_dedup, bpe, mixing, quality_vote, secrets, shuffle, topk
+from winnow.llm import bayes_dedup, bpe, mixing, pii, quality_vote, secrets, shuffle, topk
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")  # the same vocabulary as the rank file
 SHARDS = 40
@@ -66,6 +66,16 @@ def op4_linked_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_personal_data(table(spark, sf_dir, "documents"), "text", keep=["doc_id"])
+    return found.select(
+        "doc_id",
+        *(pii.count_kind("base", kind).alias(f"n_{kind}") for kind in pii.BASE),
+        F.sha2(pii.span_string("base"), 256).alias("base_sha256"),
+        pii.span_string("spans").alias("spans"),
+    )
+
+
 def op8_neighbour_vote(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = quality_vote.fit(docs, table(spark, sf_dir, "labels"))
@@ -95,6 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pareto_mix": op2_pareto_mix,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_linked_secrets": op4_linked_secrets,
+    "op7_weak_supervision": op7_weak_supervision,
     "op8_neighbour_vote": op8_neighbour_vote,
     "op9_external_shuffle": op9_external_shuffle,
     "op10_bayes_minhash": op10_bayes_minhash,
