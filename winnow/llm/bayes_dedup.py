@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from winnow.llm.batches import pieces
 from winnow.session import materialize
 
 PERCENT = 80
@@ -97,26 +98,24 @@ def sign(docs: DataFrame, id: str, text: str, width: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = _WordHashes()
-        for batch in batches:
+        for rows in pieces(batches):
             if len(memo) > MEMO_WORDS:
                 memo.clear()
-            for at in range(0, batch.num_rows, 512):
-                rows = batch.slice(at, 512)
-                ids = rows.column(0).to_pylist()
-                sets = [shingle_set(t, width, memo) for t in rows.column(1).to_pylist()]
-                classes = [
-                    hashlib.blake2b(s.tobytes() if len(s) else repr(i).encode(), digest_size=16, salt=b"" if len(s) else b"empty").digest()
-                    for i, s in zip(ids, sets)
-                ]
-                bands = [band_keys(signature(s)).tolist() if len(s) else [] for s in sets]
-                columns = [
-                    pa.array(ids, pa.int64()),
-                    pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array(classes, pa.binary()),
-                    pa.array([s.tobytes() for s in sets], pa.binary()),
-                    pa.array(bands, pa.list_(pa.int64())),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "class", "shingles", "bands"])
+            ids = rows.column(0).to_pylist()
+            sets = [shingle_set(t, width, memo) for t in rows.column(1).to_pylist()]
+            classes = [
+                hashlib.blake2b(s.tobytes() if len(s) else repr(i).encode(), digest_size=16, salt=b"" if len(s) else b"empty").digest()
+                for i, s in zip(ids, sets)
+            ]
+            bands = [band_keys(signature(s)).tolist() if len(s) else [] for s in sets]
+            columns = [
+                pa.array(ids, pa.int64()),
+                pa.array([len(s) for s in sets], pa.int64()),
+                pa.array(classes, pa.binary()),
+                pa.array([s.tobytes() for s in sets], pa.binary()),
+                pa.array(bands, pa.list_(pa.int64())),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "class", "shingles", "bands"])
 
     return docs.select(F.col(id).cast("long"), F.col(text).cast("string")).mapInArrow(run, SIGNED)
 

@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from winnow.llm.batches import pieces
+
 SAMPLE = 4096  # labelled rows that the classifier is fitted on, at most
 TERMS = 1024  # hashed trigrams
 STEPS = 16  # steps of each measure
@@ -116,7 +118,7 @@ def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "tex
     texts = docs.select(F.col(id).alias("__id"), F.col(text).alias("__text")).join(F.broadcast(known), "__id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             terms = [term_counts(t).tobytes() for t in batch.column("__text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("__id"), batch.column("label"), pa.array(terms, pa.binary())], ["id", "label", "terms"])
 
@@ -141,12 +143,10 @@ def score(docs: DataFrame, model: Model | None, text: str = "text", threshold: f
     schema = T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, BLOCK):
-                rows = batch.slice(at, BLOCK)
-                terms = np.stack([term_counts(t) for t in rows.column(text).to_pylist()])
-                scores = shared.value.scores(terms) if shared.value else np.full(len(terms), 0.5)
-                columns = [*rows.columns, pa.array(scores), pa.array((scores >= threshold).astype(np.int32))]
-                yield pa.RecordBatch.from_arrays(columns, schema.names)
+        for rows in pieces(batches, BLOCK):
+            terms = np.stack([term_counts(t) for t in rows.column(text).to_pylist()])
+            scores = shared.value.scores(terms) if shared.value else np.full(len(terms), 0.5)
+            columns = [*rows.columns, pa.array(scores), pa.array((scores >= threshold).astype(np.int32))]
+            yield pa.RecordBatch.from_arrays(columns, schema.names)
 
     return docs.mapInArrow(run, schema)

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from winnow.llm.batches import pieces
 from winnow.session import materialize
 
 #: The base patterns and their least lengths.
@@ -92,7 +93,7 @@ def scan(docs: DataFrame, text: str) -> DataFrame:
         span = pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())])
         part = pa.struct([("start", pa.int32()), ("role", pa.int32()), ("end", pa.int32()), ("weak", pa.bool_())])
         named = lambda rows, names: [[dict(zip(names, r)) for r in row] for row in rows]
-        for batch in batches:
+        for batch in pieces(batches):
             texts = [t or "" for t in batch.column(text).to_pylist()]
             base = [base_spans(t) for t in texts]
             own = [parts(t, b) for t, b in zip(texts, base)]
@@ -165,7 +166,7 @@ def redact(docs: DataFrame, text: str = "text", reach: int = REACH, mask: str =
     joined = scoped.join(linked, KEY, "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             masked = [
                 t and mask_spans(t, [*base_spans(t), *((s["start"], s["kind"], s["end"]) for s in more or ())], mask)
                 for t, more in zip(batch.column(text).to_pylist(), batch.column("linked").to_pylist())
