@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from winnow.llm import bayes_dedup, bpe, mixing, pii, quality_vote, secrets, shuffle, topk
+from winnow.llm import ann, bayes_dedup, bpe, mixing, pii, quality_vote, secrets, shuffle, topk
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")  # the same vocabulary as the rank file
 SHARDS = 40
@@ -66,6 +66,12 @@ def op4_linked_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    found = ann.nearest(vectors, vectors.where("vec_id % 100 = 0"), 10, "vec_id", "embedding")
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
 def op7_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_personal_data(table(spark, sf_dir, "documents"), "text", keep=["doc_id"])
     return found.select(
@@ -105,6 +111,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pareto_mix": op2_pareto_mix,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_linked_secrets": op4_linked_secrets,
+    "op5_nn_descent": op5_nn_descent,
     "op7_weak_supervision": op7_weak_supervision,
     "op8_neighbour_vote": op8_neighbour_vote,
     "op9_external_shuffle": op9_external_shuffle,
