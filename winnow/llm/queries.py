@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from winnow.llm import ann, bayes_dedup, bpe, mixing, pii, quality_vote, secrets, shuffle, topk
+from winnow.llm import ann, bayes_dedup, bpe, mixing, pii, quality_vote, secrets, shuffle, topk, url_filter
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")  # the same vocabulary as the rank file
 SHARDS = 40
@@ -41,7 +41,7 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank
 
 
 def op2_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
@@ -72,6 +72,65 @@ def op5_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
 
 
+def _hex_digit(text: Column, place: int) -> Column:
+    return F.instr(F.lit("0123456789abcdef"), F.substring(text, place, 1)) - 1
+
+
+def _list_entries(pages: DataFrame) -> DataFrame:
+    """Dated entries derived from the hosts of all pages and the domains above them, by digits of their md5."""
+    names = pages.select(F.explode(url_filter.domains("host")).alias("domain")).distinct().withColumn("h", F.md5("domain"))
+    digit = [None, *(_hex_digit(F.col("h"), i) for i in range(1, 9))]
+    day = lambda n: F.date_add(F.lit("2024-01-01").cast("date"), n.cast("int"))
+    entry = lambda name, action, when, if_: F.when(if_, F.struct(F.lit(name).alias("list"), F.lit(action).alias("action"), day(when).alias("dated")))
+    dated = F.array(
+        entry("malware", "add", digit[2] * 20, digit[1] < 6),
+        entry("malware", "remove", digit[2] * 20 + digit[3] * 9 + 5, (digit[1] < 6) & (digit[4] < 9)),
+        entry("malware", "add", digit[2] * 20 + digit[3] * 9 + 40, (digit[1] < 6) & (digit[4] < 4)),
+        entry("adult", "add", digit[6] * 22, digit[5] < 4),
+        entry("adult", "remove", digit[6] * 22 + digit[7] * 12, digit[5] < 3),
+    )
+    return names.select("domain", F.explode(dated).alias("e")).where("e IS NOT NULL").select("domain", "e.*")
+
+
+def op6_temporal_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page against dated lists; pages are fetched one a day, over and over the year, in the order of their ids."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    pages = pages.withColumn("fetched", F.date_add(F.lit("2024-01-01").cast("date"), F.pmod("page_id", F.lit(365)).cast("int")))
+    entries = _list_entries(pages.select(url_filter.host("url").alias("host")).where("host IS NOT NULL"))
+    found = url_filter.evaluate(pages, entries)
+    return found.select("page_id", "host", "fetched", F.array_join("lists", ",").alias("lists"), (F.size("lists") == 0).alias("kept"))
+
+
+OP6_SQL = """
+WITH p AS (
+  SELECT page_id, CAST(CAST('2024-01-01' AS DATE) + CAST(page_id % 365 AS INTEGER) AS DATE) AS fetched,
+    nullif(regexp_replace(lower(regexp_replace(regexp_replace(
+      regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1), '^.*@', ''), ':[0-9]*$', '')), '[.]$', ''), '') AS host
+  FROM pages
+), hosts AS (
+  SELECT DISTINCT host, string_split(host, '.') AS l FROM p WHERE host IS NOT NULL
+), up AS (
+  SELECT host, array_to_string(l[i:], '.') AS domain
+  FROM (SELECT host, l, unnest(range(1, greatest(len(l) - 1, 1) + 1)) AS i FROM hosts)
+), d AS (
+  SELECT domain, [instr('0123456789abcdef', substr(md5(domain), i, 1)) - 1 for i in range(1, 9)] AS h
+  FROM (SELECT DISTINCT domain FROM up)
+), e AS (
+  SELECT domain, 'malware' AS list, h[2] * 20 AS since,
+    CASE WHEN h[4] < 9 THEN h[2] * 20 + h[3] * 9 + 5 END AS until FROM d WHERE h[1] < 6
+  UNION ALL SELECT domain, 'malware', h[2] * 20 + h[3] * 9 + 40, NULL FROM d WHERE h[1] < 6 AND h[4] < 4
+  UNION ALL SELECT domain, 'adult', h[6] * 22, CASE WHEN h[5] < 3 THEN h[6] * 22 + h[7] * 12 END FROM d
+    WHERE h[5] < 4 AND NOT (h[5] < 3 AND h[7] = 0)
+), hit AS (
+  SELECT DISTINCT p.page_id, e.list FROM p JOIN up USING (host) JOIN e USING (domain)
+  WHERE date_diff('day', CAST('2024-01-01' AS DATE), p.fetched) >= e.since
+    AND (e.until IS NULL OR date_diff('day', CAST('2024-01-01' AS DATE), p.fetched) < e.until)
+)
+SELECT p.page_id, p.host, p.fetched, coalesce(string_agg(hit.list, ',' ORDER BY hit.list), '') AS lists, count(hit.list) = 0 AS kept
+FROM p LEFT JOIN hit USING (page_id) GROUP BY p.page_id, p.host, p.fetched
+"""
+
+
 def op7_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_personal_data(table(spark, sf_dir, "documents"), "text", keep=["doc_id"])
     return found.select(
@@ -112,10 +171,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_byte_bpe": op3_byte_bpe,
     "op4_linked_secrets": op4_linked_secrets,
     "op5_nn_descent": op5_nn_descent,
+    "op6_temporal_lists": op6_temporal_lists,
     "op7_weak_supervision": op7_weak_supervision,
     "op8_neighbour_vote": op8_neighbour_vote,
     "op9_external_shuffle": op9_external_shuffle,
     "op10_bayes_minhash": op10_bayes_minhash,
 }
 
-ORACLES: dict[str, str] = {"op1_term_at_a_time": OP1_SQL}
+ORACLES: dict[str, str] = {"op1_term_at_a_time": OP1_SQL, "op6_temporal_lists": OP6_SQL}
