@@ -42,7 +42,7 @@ IDENTIFIER, SECRET, ENDPOINT = 3, 4, 5  # numbers of the linked kinds, and roles
 
 SPANS = "array<struct<start:int,kind:int,end:int>>"
 PARTS = "array<struct<start:int,role:int,end:int,weak:boolean>>"
-KEY, BASE, PART = "__scope", "__base", "__parts"
+KEY, BASE, PART, LINKED = "__scope", "__base", "__parts", "__linked"
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -108,7 +108,7 @@ def scan(docs: DataFrame, text: str) -> DataFrame:
 
 
 def link(scopes: DataFrame, reach: int = REACH) -> DataFrame:
-    """``linked`` spans of each scope that has any, from its parts.
+    """The linked spans of each scope that has any, from its parts.
 
     An interval join: every part covers the bins of its characters, every weak part also looks up the bins within
     reach, and pairs meet in (scope, bin).  A bin is as wide as the reach, so it holds a bounded number of parts
@@ -128,7 +128,7 @@ def link(scopes: DataFrame, reach: int = REACH) -> DataFrame:
     full = met.where(
         f"CASE role WHEN {IDENTIFIER} THEN r{SECRET} WHEN {SECRET} THEN r{IDENTIFIER} ELSE r{IDENTIFIER} AND r{SECRET} END"
     )
-    return full.groupBy(KEY).agg(F.collect_set(F.struct("start", F.col("role").alias("kind"), "end")).alias("linked"))
+    return full.groupBy(KEY).agg(F.collect_set(F.struct("start", F.col("role").alias("kind"), "end")).alias(LINKED))
 
 
 def _scoped(docs: DataFrame, text: str) -> DataFrame:
@@ -147,7 +147,7 @@ def find_secrets(docs: DataFrame, text: str = "text", keep: list[str] | None = N
     narrow = _scoped(docs, text).select(*(F.col(f"`{c}`") for c in kept), text, KEY)
     scanned = materialize(scan(narrow, text).drop(text), "secret-parts")
     linked = link(scanned.where(F.size(PART) > 0).dropDuplicates([KEY]), reach)
-    every = F.array_sort(F.concat(BASE, F.coalesce("linked", F.array().cast(SPANS))))
+    every = F.array_sort(F.concat(BASE, F.coalesce(LINKED, F.array().cast(SPANS))))
     return scanned.join(linked, KEY, "left").select(
         *(F.col(f"`{c}`") for c in kept), F.col(BASE).alias("base"), every.alias("spans")
     )
@@ -159,7 +159,7 @@ def redact(docs: DataFrame, text: str = "text", reach: int = REACH, mask: str =
     Spans that overlap are masked as one.  Null stays null.  Only the parts go through the join; texts meet the
     linked spans, which are few, by the digest of the text.
     """
-    scoped = _scoped(docs.drop(KEY, BASE, PART, "linked"), text)
+    scoped = _scoped(docs.drop(KEY, BASE, PART, LINKED), text)
     parted = scan(scoped.select(text, KEY), text).where(F.size(PART) > 0).select(KEY, PART)
     linked = materialize(link(parted.dropDuplicates([KEY]), reach), "secret-links")
     schema = docs.schema
@@ -169,7 +169,7 @@ def redact(docs: DataFrame, text: str = "text", reach: int = REACH, mask: str =
         for batch in pieces(batches):
             masked = [
                 t and mask_spans(t, [*base_spans(t), *((s["start"], s["kind"], s["end"]) for s in more or ())], mask)
-                for t, more in zip(batch.column(text).to_pylist(), batch.column("linked").to_pylist())
+                for t, more in zip(batch.column(text).to_pylist(), batch.column(LINKED).to_pylist())
             ]
             columns = [pa.array(masked, pa.string()) if c == text else batch.column(c) for c in schema.names]
             yield pa.RecordBatch.from_arrays(columns, schema.names)
