@@ -243,7 +243,9 @@ def find_personal_data(docs: DataFrame, text: str = "text", keep: list[str] | No
     per_scope = judged.groupBy("scope").agg(F.array_sort(F.collect_list(one)).alias("spans"))
     none = F.array().cast("array<struct<kind:int,start:int,end:int>>")
     every = F.coalesce("spans", none)
-    return scanned.drop("found").join(per_scope, "scope", "left").select(
+    some = scanned.where(F.size("found") > 0).drop("found").join(per_scope, "scope", "left")
+    rest = scanned.where(F.size("found") == 0).drop("found").withColumn("spans", none)  # most texts: nothing to join
+    return some.unionByName(rest).select(
         *(F.col(f"`{c}`") for c in kept),
         F.filter(every, lambda s: s["kind"] < len(BASE)).alias("base"),
         every.alias("spans"),

@@ -146,11 +146,11 @@ def find_secrets(docs: DataFrame, text: str = "text", keep: list[str] | None = N
     kept = [c for c in (keep if keep is not None else docs.columns) if c not in (text, "base", "spans")]
     narrow = _scoped(docs, text).select(*(F.col(f"`{c}`") for c in kept), text, KEY)
     scanned = materialize(scan(narrow, text).drop(text), "secret-parts")
-    linked = link(scanned.where(F.size(PART) > 0).dropDuplicates([KEY]), reach)
+    some = scanned.where(F.size(PART) > 0)
+    none = scanned.where(F.size(PART) == 0).withColumn(LINKED, F.array().cast(SPANS))  # most texts: nothing to join
+    joined = some.join(link(some.dropDuplicates([KEY]), reach), KEY, "left").unionByName(none)
     every = F.array_sort(F.concat(BASE, F.coalesce(LINKED, F.array().cast(SPANS))))
-    return scanned.join(linked, KEY, "left").select(
-        *(F.col(f"`{c}`") for c in kept), F.col(BASE).alias("base"), every.alias("spans")
-    )
+    return joined.select(*(F.col(f"`{c}`") for c in kept), F.col(BASE).alias("base"), every.alias("spans"))
 
 
 def redact(docs: DataFrame, text: str = "text", reach: int = REACH, mask: str = "[SECRET]") -> DataFrame:
