@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tests.test_minhash import brute_signature
+from tests.test_minhash import known_signatures
 from winnow.functions import minhash
 from winnow.operators import dedup
 from winnow.session import materialize
@@ -21,16 +21,23 @@ def rows(df, *columns):
 def test_known_counts(spark, path, n, kept, pairs):
     docs = spark.read.parquet(path)
     first, rest = dedup.split_duplicates(docs, "doc_id", "text")
-    assert (first.count(), rest.count()) == (kept, n - kept)
+    short = docs.where(F.length("text") < 13).count()
+    assert (first.count(), rest.count()) == (kept, n - kept + short)
     banded = dedup.bands(docs, "doc_id", "text")
     assert dedup.bucket_sizes(banded).agg(F.sum("n_pairs")).first()[0] == pairs
 
 
 def test_kept_and_quarantine_are_the_input(spark, documents):
+    odd = spark.createDataFrame([(900, "too short"), (901, None), (902, "")], "doc_id long, text string")
+    documents = documents.unionByName(odd, allowMissingColumns=True)
     kept, quarantine = dedup.split_duplicates(documents, "doc_id", "text", num_hashes=8)
     assert kept.columns == [*documents.columns, "hashes", *dedup.BAND]
-    usable = documents.where(F.length("text") >= 13)
-    assert rows(kept.unionByName(quarantine), "doc_id", "text") == rows(usable, "doc_id", "text")
+    both = kept.unionByName(quarantine, allowMissingColumns=True)
+    assert rows(both, "doc_id", "text") == rows(documents, "doc_id", "text")
+    reasons = {r.doc_id: r.reason for r in quarantine.collect()}
+    assert [reasons[i] for i in (900, 901, 902)] == [["too_short"], ["null_text"], ["too_short"]]
+    quarantine = quarantine.where("hash1 IS NOT NULL")
+    assert {tuple(r.reason) for r in quarantine.collect()} == {("near_duplicate",)}
     low = kept.select(*dedup.BAND, F.col("doc_id").alias("low"))
     with_kept = quarantine.join(low, dedup.BAND)
     assert with_kept.count() == quarantine.count()
@@ -80,7 +87,7 @@ def test_hot_bucket_scores(spark, hot):
     """Every duplicate of the hot bucket is scored although all share one survivor."""
     signed = hot.select("id", F.array(F.lit(1), F.col("id").cast("int")).alias("hashes"))
     pairs = dedup.duplicate_pairs(hot)
-    scored = dedup.score_pairs(pairs, signed)
+    scored = dedup.score_pairs(pairs, signed).drop("equal_share")
     assert scored.count() == pairs.count()
     expected = pairs.select("a_id", "b_id", F.lit(1 / 3).cast("float").alias("score"))
     assert scored.where("a_id > 1 and b_id > 1").exceptAll(expected.where("a_id > 1 and b_id > 1")).count() == 0
@@ -90,10 +97,11 @@ def test_scores_equal_brute_force(documents):
     texts = {r.doc_id: r.text for r in documents.select("doc_id", "text").collect()}
     scored = dedup.near_duplicates(documents, "doc_id", "text").collect()
     assert len(scored) == 16
-    for a, b, score in scored:
-        left, right = (brute_signature(texts[i], minhash.NUM_HASHES) for i in (a, b))
+    for a, b, score, equal in scored:
+        left, right = known_signatures([texts[a], texts[b]], minhash.NUM_HASHES)
         shared = len(set(left) & set(right))
         assert score == pytest.approx(shared / (256 - shared), rel=1e-6)
+        assert equal == sum(x == y for x, y in zip(left, right)) / minhash.NUM_HASHES
     strict = dedup.near_duplicates(documents, "doc_id", "text", min_score=0.9)
     assert strict.count() == sum(r.score >= 0.9 for r in scored)
 

@@ -58,6 +58,38 @@ def test_detector_is_loaded_once_per_worker_and_skips_nulls(values):
     ]
 
 
+def test_model_is_loaded_once_per_process(spark, tmp_path):
+    marks = str(tmp_path)
+
+    def load():
+        import os
+        import uuid
+
+        open(f"{marks}/{os.getpid()}-{uuid.uuid4().hex}", "w").close()
+        return lambda texts: [[] for _ in texts]
+
+    df = spark.range(0, 64, 1, 16).select(F.col("id").cast("string").alias("t"))
+    for _ in range(2):
+        assert df.select(entities.detect("t", load, f"model {marks}").alias("f")).where("size(f) = 0").count() == 64
+    loads = [f.name.split("-")[0] for f in tmp_path.iterdir()]
+    assert len(loads) == len(set(loads)) <= 16
+
+
+@pytest.mark.parametrize("extra", [-1, 1])
+def test_wrong_number_of_answers_is_an_error(spark, extra):
+    def detector():
+        return lambda texts: [[]] * (len(texts) + extra)
+
+    def generator():
+        return lambda requests: ["{}"] * (len(requests) + extra)
+
+    df = spark.createDataFrame([("a",), ("b",)], "prompt string").coalesce(1)
+    with pytest.raises(Exception, match="2 texts were sent, . entity lists came back"):
+        df.select(entities.detect("prompt", detector)).collect()
+    with pytest.raises(Exception, match="2 texts were sent, . replies came back"):
+        inference.generate(df, generator).collect()
+
+
 def test_detector_in_sql(spark):
     def load():
         return lambda texts: [[{"word": "Bob", "entity_group": "PER", "score": 0.95}] for _ in texts]
@@ -76,6 +108,39 @@ def test_patterns(values):
     assert scrubbed == ["mail EMAIL now", "ip IP!", "card CARD", "call PHONE", None]
 
 
+def test_phone_numbers_and_other_numbers(values):
+    scrubbed = {
+        "call +1 (017) 555-7713 now": "call PHONE now", "(212) 555-0100, 212.555.0100": "PHONE, PHONE", "+49 30 1234567.": "PHONE.",
+        "+1 (017) 555-7713 +1 (018) 555-7714": "PHONE PHONE", "1.2.3.4 5.6.7.8,9.10.11.12": "IP IP,IP",
+        "4111 1111 1111 1111 4222-2222-2222-2222": "CARD CARD", "a@b.org 10.0.0.1 +442079460958": "EMAIL IP PHONE",
+    }
+    plain = [
+        "on 01-02-2024 we met", "on 2024-01-02 we met", "10-20-3000 units", "1234567890123456789", "256.1.1.1 is none", "version 1.2.3", "12 345 6789",
+        "x4111111111111111", "4111111111111111_", "1.2.3.4567", "555-7713", "1 000 000 000", "+12 apples",
+    ]
+    expected = [*scrubbed.values(), *plain]
+    assert values(entities.scrub_patterns, [*scrubbed, *plain]) == expected
+    assert values(lambda c: entities.scrub(c, entities.detect_patterns(c)), [*scrubbed, *plain]) == expected
+
+
+def test_entities_do_not_overlap(values):
+    found = values(entities.detect_patterns, ["10.20.30.40 and +4111 1111 1111 1111 and a@1.2.3.4.com"])
+    assert [(e.word, e.entity_group) for e in found[0]] == [
+        ("a@1.2.3.4.com", "EMAIL"), ("4111 1111 1111 1111", "CARD"), ("10.20.30.40", "IP"),
+    ]
+
+
+def test_no_phone_number_is_left_in_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    shape = r"\+1 \([0-9]{3}\) [0-9]{3}-[0-9]{4}"
+    assert docs.where(F.col("text").rlike(shape)).count() > 10
+    assert docs.where(entities.scrub_patterns("text").rlike(shape)).count() == 0
+    assert docs.where(entities.scrub("text", entities.detect_patterns("text")).rlike(shape)).count() == 0
+    code = docs.select(F.col("text").alias("instruction"), F.col("text").alias("input"), F.col("text").alias("output"))
+    clean = training_set.clean_code_gen(ingest.stamp(code, STAMP), "code")
+    assert clean.where(F.col("prompt").rlike(shape) | F.col("response").rlike(shape)).count() == 0
+
+
 def test_own_patterns(values):
     own = {"EMAIL": "[0-9]+", "$1\\": "cat"}
     assert values(lambda c: entities.scrub_patterns(c, own), ["12 cat"]) == ["EMAIL $1\\"]
@@ -149,6 +214,17 @@ def test_split(spark, documents):
     assert 1400 < counts["a"] < 1600
 
 
+def test_latest_is_hash_aggregated(spark):
+    df = spark.range(100).selectExpr("id % 7 AS k", "id AS version", "uuid() AS text")
+    plan = latest.latest_per_key(df, ["k"], "version")._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate(keys=[k" in plan and "partial_max(_version" in plan
+
+
+def test_latest_of_null_keys_and_versions(spark):
+    df = spark.createDataFrame([(None, "3", "a"), (None, "x", "b"), ("m", None, "c"), ("m", "z", "d")], "name string, version string, v string")
+    assert rows(latest.latest_per_key(df, ["name"], "version"), "name", "version", "v") == [("m", "z", "d"), (None, "3", "a")]
+
+
 def test_latest_is_numeric(spark):
     df = spark.createDataFrame([("m", "9", "a"), ("m", "10", "b"), ("n", "2", "c"), ("n", "2", "d")], "name string, version string, v string")
     assert rows(latest.latest_per_key(df, ["name"], "version"), "name", "version", "v") == [("m", "10", "b"), ("n", "2", "d")]
@@ -185,6 +261,20 @@ def test_generate_survives_bad_replies(spark):
     assert inference.generate(df, load).first().answer is None
 
 
+def test_generate_returns_every_candidate(spark):
+    def load():
+        def reply(r):
+            texts = [f"{i}{r['stop']}rest" for i in range(r["candidate_count"])]
+            return json.dumps({"predictions": [{"candidates": [{"text": t} for t in texts]}]})
+
+        return lambda requests: [reply(r) for r in requests]
+
+    df = spark.createDataFrame([("q", 3), ("q", None)], "prompt string, candidate_count int")
+    got = sorted((r.answers, r.answer) for r in inference.generate(df, load).collect())
+    assert got == [(["0"], "0"), (["0", "1", "2"], "0")]
+    assert [len(r.answers) for r in inference.generate(df.limit(1)).collect()] == [3]
+
+
 # ---- whole run --------------------------------------------------------------------------------
 
 

@@ -1,11 +1,13 @@
 import glob
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from winnow.plans import training_set
-from winnow.session import build_session, shared_dir, spread_scan
+from winnow.plans.queries import own_database
+from winnow.session import SPREAD_SCANS, build_session, materialize, scope, shared_dir, spread_scan
 from winnow.sources import export, ingest, tables
 
 SCHEMA = "prompt string, response string, source string"
@@ -113,7 +115,8 @@ def test_shards_and_index(spark, tmp_path):
     expected = sum(len(r.prompt.encode()) + len(r.response or "") for r in pairs.collect())
     assert sum(r.text_bytes for r in index) == expected
     assert all(r.file_bytes > 0 for r in index)
-    assert {r.shard for r in index} == {f.split("/")[-1] for f in glob.glob(f"{path}/shards/*.parquet")}
+    assert sum(r.n_files for r in index) == len(glob.glob(f"{path}/shards/*/*.parquet"))
+    assert {r.shard for r in index} == set(range(8))
     report = export.verify(pairs, export.read_shards(spark, path)).first().asDict()
     assert report == {
         "expected_rows": 1000, "written_rows": 1000, "expected_nulls": 1, "written_nulls": 1,
@@ -121,10 +124,15 @@ def test_shards_and_index(spark, tmp_path):
     }
     short = export.verify(pairs, export.read_shards(spark, path).where("prompt <> 'é1'")).first()
     assert (short.missing_rows, short.extra_rows) == (1, 0)
-    assert len(export.write_shards(pairs, f"{tmp_path}/cut", shards=2, max_rows_per_file=100).collect()) in (10, 11)
+    cut = export.write_shards(pairs, f"{tmp_path}/cut", shards=2, max_rows_per_file=100, style="serving").collect()
+    assert sum(r.n_files for r in cut) in (10, 11) and {r.style for r in cut} == {"serving"}
+    wide = export.write_shards(pairs, f"{tmp_path}/wide", shards=2, tasks_per_shard=3).collect()
+    assert [r.n_files for r in wide] == [3, 3] and all(480 <= r.n_rows <= 520 for r in wide)
+    few = export.write_shards(pairs.limit(2), f"{tmp_path}/few").collect()
+    assert sorted(r.n_rows for r in few) == [0] * 6 + [1, 1] and min(r.n_files for r in few) == 0
     empty = export.write_shards(pairs.limit(0), f"{tmp_path}/empty")
     assert export.verify(pairs.limit(0), export.read_shards(spark, f"{tmp_path}/empty")).first().expected_rows == 0
-    assert sum(r.n_rows for r in empty.collect()) == 0
+    assert [(r.shard, r.n_rows) for r in empty.orderBy("shard").collect()] == [(i, 0) for i in range(8)]
 
 
 def test_digest_tells_null_from_empty(spark):
@@ -155,10 +163,60 @@ def test_shared_folder_is_the_one_of_the_session(spark):
     assert build_session() is not None
 
 
-def test_spread_only_small_scans(spark, documents):
-    assert "Exchange" in spread_scan(documents, "doc_id")._jdf.queryExecution().executedPlan().toString()
-    many = spark.range(0, 100, 1, 64)
-    assert spread_scan(many, "id") is many
+def test_scans_are_spread_where_the_setting_says_so(spark, documents):
+    assert spread_scan(documents, "doc_id") is documents
+    spark.conf.set(SPREAD_SCANS, "true")
+    try:
+        assert "Exchange" in spread_scan(documents, "doc_id")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset(SPREAD_SCANS)
+
+
+def test_scope_removes_what_was_made_in_it(spark):
+    base = f"{shared_dir(spark).removeprefix('file:')}/winnow/{spark.sparkContext.applicationId}"
+    outside = materialize(spark.range(3), "outside")
+    before = set(os.listdir(base))
+    with scope(spark):
+        inside = materialize(spark.range(5), "inside")
+        with own_database(spark):
+            tables.create(spark, "t", "a int")
+        with scope(spark):
+            materialize(spark.range(2), "nested")
+        assert inside.count() == 5
+        databases = {d.name for d in spark.catalog.listDatabases()}
+        assert any(d.startswith("winnow_") for d in databases)
+    assert set(os.listdir(base)) == before
+    assert len({d.name for d in spark.catalog.listDatabases()}) < len(databases)
+    assert outside.count() == 3
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    class Context:
+        master = "local-cluster[2,1,1024]"
+        getCheckpointDir = staticmethod(lambda: None)
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(Session())
+
+
+def test_sources_are_computed_once(spark, documents, tmp_path):
+    calls = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(s):
+        calls.add(1)
+        return s
+
+    bronze = ingest.stamp(documents.select(
+        F.col("doc_id").alias("key"), counted.asNondeterministic()("text").alias("prompt"), F.col("lang").alias("response"), "source",
+    ), "2024-01-01 00:00:00")
+    silver = training_set.silver([training_set.clean_instruct(bronze, keep=["key"])], order_by=["key"])
+    training_set.export_splits(training_set.build(silver).gold, f"{tmp_path}/once")
+    assert calls.value == documents.count()
 
 
 def test_insert_new_and_store_are_repeatable(spark, documents):

@@ -193,19 +193,36 @@ def signature(text: Column | str, num_hashes: int = NUM_HASHES, seed: int = SEED
     return signature_udf(num_hashes, seed)(text)
 
 
+def _print_column(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and fingerprints of sorted keys, in four bytes each."""
+    return (keys >> 30).astype(np.int32), (keys & FINGERPRINT_MASK).astype(np.int32)
+
+
 def fingerprints_udf():
     """Arrow UDF ``string -> array<int>``: the distinct fingerprints of a text, ascending."""
 
     @F.arrow_udf("array<int>")
     def shingle_fingerprints(texts: pa.Array) -> pa.Array:
-        keys = [np.empty(0, np.int64)]
+        # each slice is reduced to its distinct keys; rows ascend, so one that began in an earlier slice is merged with it
+        # and all others are done
+        done, last = [], np.empty(0, np.int64)
         for rows, prints in _shingle_batches(texts):
-            keys.append((rows.astype(np.int64) << 30) | prints)
-        merged = np.sort(np.concatenate(keys))
-        merged = merged[np.diff(merged, prepend=-1) != 0]
-        sizes = np.bincount(merged >> 30, minlength=len(texts))
+            keys = np.unique((rows.astype(np.int64) << 30) | prints)
+            begun = np.searchsorted(keys, ((last[-1] >> 30) + 1) << 30) if len(last) else 0
+            if begun:
+                last = np.union1d(last, keys[:begun])
+            if begun < len(keys):
+                done.append(_print_column(last))
+                cut = np.searchsorted(keys, (keys[-1] >> 30) << 30)
+                if cut > begun:
+                    done.append(_print_column(keys[begun:cut]))
+                last = keys[max(cut, begun):]
+        done.append(_print_column(last))
+        owners = np.concatenate([rows for rows, _ in done])
+        values = np.concatenate([prints for _, prints in done])
+        sizes = np.bincount(owners, minlength=len(texts))
         nulls = texts.is_null().to_numpy(zero_copy_only=False)
-        return _list_array((merged & FINGERPRINT_MASK).astype(np.int32), sizes, nulls)
+        return _list_array(values, sizes, nulls)
 
     return shingle_fingerprints
 
@@ -224,6 +241,12 @@ def band_hashes(hashes: Column | str) -> list[Column]:
     return [F.element_at(hashes, i + 1).alias(name) for i, name in enumerate(BAND_COLUMNS)]
 
 
+def equal_share(left: Column | str, right: Column | str) -> Column:
+    """The share of positions at which two signatures are equal, which estimates the Jaccard similarity."""
+    same = F.zip_with(left, right, lambda a, b: a == b)
+    return F.size(F.filter(same, lambda e: e)) / F.size(same)
+
+
 def overlap_score(left: Column | str, right: Column | str) -> Column:
     """Shared distinct values over the sum of both lengths less the shared ones, as a float.
 

@@ -14,6 +14,7 @@ from pyspark.sql.types import StringType
 # Generated text ends at this marker, and a serving reply keeps its text at this path.
 STOP_TOKEN = "<|endoftext|>"
 REPLY_TEXT_PATH = "$.predictions[0].candidates[0].text"
+REPLY_SCHEMA = "predictions array<struct<candidates: array<struct<text: string>>>>"
 
 
 def _col(column: Column | str) -> Column:
@@ -66,6 +67,12 @@ def reply_text(reply: Column | str) -> Column:
     return F.get_json_object(_col(reply), REPLY_TEXT_PATH)
 
 
+def reply_texts(reply: Column | str) -> Column:
+    """The texts of all candidates inside a serving reply, in order; null where the JSON is malformed or has none."""
+    parsed = F.from_json(_col(reply), REPLY_SCHEMA)
+    return F.transform(F.get(parsed["predictions"], 0)["candidates"], lambda c: c["text"])
+
+
 def replace_patterns(
     text: Column | str, patterns: Mapping[str, str], needs: Mapping[str, str] | None = None
 ) -> Column:

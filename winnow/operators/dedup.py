@@ -48,7 +48,8 @@ def survivors(banded: DataFrame, id_column: str = "id") -> DataFrame:
 
 
 def keep_first(df: DataFrame, id_column: str = "id", prompt: str = "prompt") -> DataFrame:
-    """Only the surviving rows, with their band columns."""
+    """Only the surviving rows, with their band columns; rows without a shingle are not among them (``split_duplicates``
+    sets those aside)."""
     return df.join(survivors(bands(df, id_column, prompt), id_column), id_column)
 
 
@@ -59,9 +60,10 @@ def split_duplicates(
     num_hashes: int | None = None,
     known: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """``(kept, quarantine)`` with band columns, disjoint and together all rows that have a shingle.
+    """``(kept, quarantine)`` with band columns, disjoint and together all rows.
 
-    With ``num_hashes`` the whole signature is carried as ``hashes``.  ``known`` holds the bands kept
+    The quarantine says why in ``reason``: ``near_duplicate``, or ``too_short`` or ``null_<prompt>`` for a row
+    without a shingle, which has no band.  With ``num_hashes`` the whole signature is carried as ``hashes``.  ``known`` holds the bands kept
     earlier; whatever falls into one of them is quarantined.  All decisions are taken on ids and bands,
     and texts are only ever joined on the unique id.  Signatures and surviving ids are written at once:
     both results rest on the same decisions, even if ``known`` is a table that they are appended to.
@@ -80,8 +82,12 @@ def split_duplicates(
     first_ids = first.select(id_column)
     kept_rows = first if num_hashes is None else signed.join(first_ids, id_column, "left_semi")
     kept = df.join(kept_rows, id_column)
-    quarantine = df.join(signed.join(first_ids, id_column, "left_anti"), id_column)
-    return kept, quarantine
+    copies = df.join(signed.join(first_ids, id_column, "left_anti"), id_column)
+    copies = copies.withColumn("reason", F.array(F.lit("near_duplicate")))
+    length = F.length(prompt)
+    why = F.when(length.isNull(), F.lit(f"null_{prompt}")).otherwise(F.lit("too_short"))
+    short = df.where(length.isNull() | (length < minhash.SHINGLE_WIDTH)).withColumn("reason", F.array(why))
+    return kept, copies.unionByName(short, allowMissingColumns=True)
 
 
 def _pieces(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
@@ -142,7 +148,7 @@ def score_pairs(
     min_score: float | None = None,
     repeated: Sequence[str] = ("a", "b"),
 ) -> DataFrame:
-    """Add ``score`` to any given ``(a_id, b_id)`` pairs from a frame of ``(id, hashes)``.
+    """Add ``score`` (``overlap_score``) and ``equal_share`` to any given ``(a_id, b_id)`` pairs from a frame of ``(id, hashes)``.
 
     ``repeated`` names the sides whose ids may occur in a great many pairs.  Such a side is looked up by
     (id, piece): the hashes are copied once to every piece that needs them and no join key is larger
@@ -159,7 +165,7 @@ def score_pairs(
             hashes = cut.select(*key).distinct().join(hashes, key[0])
         found = found.join(hashes, key)
     score = minhash.overlap_score("a_hashes", "b_hashes").alias("score")
-    scored = found.select("a_id", "b_id", score)
+    scored = found.select("a_id", "b_id", score, minhash.equal_share("a_hashes", "b_hashes").alias("equal_share"))
     return scored if min_score is None else scored.where(F.col("score") >= min_score)
 
 
@@ -168,6 +174,9 @@ def near_duplicates(
 ) -> DataFrame:
     """Every duplicate with its survivor and their signature score."""
     signed = materialize(signatures(df, id_column, prompt), "signatures")
-    pairs = duplicate_pairs(signed, id_column)
+    pairs = materialize(duplicate_pairs(signed, id_column), "pairs")
+    # most rows are in no pair: their signatures stay where they are
+    paired = pairs.select(F.col("a_id").alias(id_column)).union(pairs.select("b_id")).distinct()
+    wanted = materialize(signed.join(paired, id_column, "left_semi"), "paired-signatures")
     # a duplicate occurs once, its survivor as often as its bucket is large
-    return score_pairs(pairs, signed, id_column, min_score, repeated=["a"])
+    return score_pairs(pairs, wanted, id_column, min_score, repeated=["a"])

@@ -16,11 +16,12 @@ def assign_ids(
     """Add ids ``start, start + 1, ...``.
 
     With ``order_by``, a unique key, ids follow that order whatever the layout of the input; without,
-    they follow the order of the partitions and cost no shuffle.  Rows and offsets, one per partition,
-    are written once, so an id never changes when a task is run again.
+    they follow the order of the partitions and cost no shuffle.  ``df`` is computed once.  Rows and offsets, one per
+    partition, are written once, so an id never changes when a task is run again.
     """
     if order_by:
-        df = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
+        # the range partitioner samples its input first: written, the input is not computed twice
+        df = materialize(df, "unnumbered").repartitionByRange(*order_by).sortWithinPartitions(*order_by)
     # partition number in the upper 31 bits, position within the partition in the lower 33
     staged = materialize(df.withColumn("_place", F.monotonically_increasing_id()), "ids")
     part = F.shiftright("_place", 33).alias("_part")

@@ -9,24 +9,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from winnow.functions import prompts, text
+from winnow.functions import prompts, text, workers
 from winnow.functions.text import STOP_TOKEN
 
 # Request parameters used where a row leaves them out.
 MAX_TOKENS = 200
 TEMPERATURE = 0.0
 
-REQUEST_SCHEMA = "prompt string, temperature double, max_tokens int, stop string, candidate_count int"
-
 Generator = Callable[[Sequence[dict]], Sequence[str]]
 
 
 def echo_generator() -> Generator:
-    """Stand-in for a model: answers every request with its own prompt and a stop marker."""
+    """Stand-in for a model: answers every request with its own prompt and a stop marker, as often as it asks for."""
 
     def generate(requests: Sequence[dict]) -> list[str]:
-        texts = (f"{r['prompt']}{STOP_TOKEN} unread" for r in requests)
-        return [json.dumps({"predictions": [{"candidates": [{"text": t}]}]}) for t in texts]
+        wanted = ((f"{r['prompt']}{STOP_TOKEN} unread", r["candidate_count"]) for r in requests)
+        return [json.dumps({"predictions": [{"candidates": [{"text": t}] * n}]}) for t, n in wanted]
 
     return generate
 
@@ -56,19 +54,22 @@ def generate(
     load: Callable[[], Generator] = echo_generator,
     instruction: str = "prompt",
     style: str = "serving",
+    model: str | None = None,
 ) -> DataFrame:
-    """``df`` with the raw ``reply`` and the ``answer`` in it, cut at the row's stop marker.
+    """``df`` with the raw ``reply``, its ``answer`` and all its ``answers``, each cut at the row's stop marker.
 
-    ``load`` runs once per task; its result maps a list of requests to a list of replies
-    in JSON.  Rows with a null prompt get a null reply without being sent.
+    ``answer`` is the first of ``answers``, of which there are as many as the reply has candidates.  ``load`` runs once per
+    worker process where the caller names the ``model`` (one name, one model), else once per task; its result maps a list
+    of requests to as many replies in JSON.  Rows with a null prompt get a null reply without being sent.
     """
 
     @F.arrow_udf("string")
     def ask(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        generator = load()
+        generator = workers.kept(model, load)
         for batch in batches:
             rows = batch.to_pylist()
-            replies = iter(generator([r for r in rows if r["prompt"] is not None]))
+            sent = [r for r in rows if r["prompt"] is not None]
+            replies = iter(workers.as_many(sent, generator(sent), "replies"))
             yield pa.array([None if r["prompt"] is None else next(replies) for r in rows], pa.string())
 
     ready = requests(df, instruction, style)
@@ -76,6 +77,7 @@ def generate(
         F.col("request").alias("prompt"), "temperature", "max_tokens", "stop", "candidate_count"
     )
     answered = ready.withColumn("reply", ask(request))
-    answer = F.expr("CASE WHEN stop = '' THEN _text ELSE substring_index(_text, stop, 1) END")
-    kept = [*df.columns, *(c for c in ("request", "reply") if c not in df.columns)]
-    return answered.withColumn("_text", text.reply_text("reply")).withColumn("answer", answer).select(*kept, "answer")
+    cut = F.expr("transform(_texts, t -> CASE WHEN stop = '' THEN t ELSE substring_index(t, stop, 1) END)")
+    kept = [c for c in df.columns if c not in ("request", "reply", "answers", "answer")]
+    answered = answered.withColumn("_texts", text.reply_texts("reply")).withColumn("answers", cut)
+    return answered.select(*kept, "request", "reply", "answers", F.get("answers", F.lit(0)).alias("answer"))

@@ -17,9 +17,12 @@ PUNCTUATION = "!\"#$%&''()*+,-./:;<=>?@[\\]^_`{|}~"
 SPACES = r"[\t\n\x0b\f\r\x1c-\x1f\x{85}\p{Z} ]+"
 PATTERNS = {
     "EMAIL": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
-    "CARD": r"[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}",
-    "IP": r"[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}",
-    "PHONE": r"\+?[0-9]{1,3}[ .-][0-9]{2,4}[ .-][0-9]{3,4}(?:[ .-][0-9]{3,4})?",
+    "CARD": r"\b(?:[0-9]{4}[ -]?){3}[0-9]{4}\b",
+    "IP": r"\b(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])\b",
+    "PHONE": (
+        r"\+[0-9]{1,3}[ .-]?\(?[0-9]{1,4}\)?(?:[ .-]?[0-9]{2,4}){2,4}\b|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}\b"
+        r"|\b[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}\b"
+    ),
 }
 
 
@@ -77,10 +80,10 @@ def replaced(text: str) -> str:
 
 
 def found(text: str) -> str:
-    lists = [
-        f"list_transform(regexp_extract_all({text}, '{pattern}'), lambda w: {{'word': w, 'label': '{label}'}})"
-        for label, pattern in PATTERNS.items()
-    ]
+    lists = []
+    for label, pattern in PATTERNS.items():
+        lists.append(f"list_transform(regexp_extract_all({text}, '{pattern}'), lambda w: {{'word': w, 'label': '{label}'}})")
+        text = f"regexp_replace({text}, '{pattern}', '{label}', 'g')"
     return f"list_concat({', '.join(lists)})"
 
 
@@ -98,11 +101,12 @@ TURN_PAIRS = """
 
 STANDARD = f"""{TURN_PAIRS},
     standard AS (
-      SELECT printf('%012d-%06d', conv_id, turn) AS key, {scrubbed('prompt')} AS prompt, response,
+      SELECT printf('%012d-%06d', conv_id, turn) AS key, {scrubbed('prompt')} AS prompt, {scrubbed('response')} AS response,
              'conversations' AS source
       FROM pairs
       UNION ALL
-      SELECT printf('%012d', doc_id), {training('text', 'lang')}, source, 'documents' FROM documents)"""
+      SELECT printf('%012d', doc_id), {training('text', 'lang')}, source, 'documents'
+      FROM (SELECT doc_id, {scrubbed('text')} AS text, {scrubbed('lang')} AS lang, {scrubbed('source')} AS source FROM documents))"""
 
 SILVER = f"""{STANDARD},
     silver AS (SELECT row_number() OVER (ORDER BY source, key) - 1 AS id, * FROM standard)"""
@@ -116,7 +120,10 @@ KEPT = f"WITH {bands()} SELECT doc_id, text, source, {BAND} FROM ranked JOIN doc
 
 ORACLES: dict[str, str] = {
     "near_dup_keep": KEPT + "= 1",
-    "near_dup_quarantine": KEPT + "> 1",
+    "near_dup_quarantine": f"""WITH {bands()}
+    SELECT doc_id, text, source, {BAND}, 'near_duplicate' AS reason FROM ranked JOIN documents USING (doc_id) WHERE DupRank > 1
+    UNION ALL SELECT doc_id, text, source, NULL, NULL, NULL, CASE WHEN text IS NULL THEN 'null_text' ELSE 'too_short' END
+    FROM documents WHERE text IS NULL OR length(text) < 13""",
     "near_dup_bucket_rank": f"WITH {bands()} SELECT doc_id, {BAND}, DupRank FROM ranked",
     "near_dup_bucket_sizes": (
         f"WITH {bands()} SELECT {BAND}, count(*) AS n_rows, CAST(count(*) * (count(*) - 1) // 2 AS BIGINT) AS n_pairs "
@@ -129,7 +136,8 @@ ORACLES: dict[str, str] = {
       WHERE k IN (SELECT unnest([doc_id, survivor]) FROM ranked WHERE DupRank > 1) GROUP BY k)
     SELECT survivor AS a_id, doc_id AS b_id,
            round(CAST(CAST(len(list_distinct(list_intersect(a.hashes, b.hashes))) AS DOUBLE)
-                 / (256 - len(list_distinct(list_intersect(a.hashes, b.hashes)))) AS FLOAT)::DOUBLE, 6) AS score
+                 / (256 - len(list_distinct(list_intersect(a.hashes, b.hashes)))) AS FLOAT)::DOUBLE, 6) AS score,
+           round(len(list_filter(range(1, 129), lambda i: a.hashes[i] = b.hashes[i])) / 128.0::DOUBLE, 6) AS equal_share
     FROM ranked JOIN signed a ON a.k = survivor JOIN signed b ON b.k = doc_id WHERE DupRank > 1""",
     "minhash_signatures": (
         f"WITH {prints('documents', 'doc_id', 'text')} "
@@ -158,15 +166,19 @@ ORACLES: dict[str, str] = {
     ),
     "prompt_training": f"SELECT doc_id, {training('text', 'lang')} AS prompt FROM documents",
     "prompt_inference": (
-        f"WITH {TURN_PAIRS} SELECT conv_id, turn, '{INTRO} ### Instruction ' || prompt || ' ### Response' || chr(10) "
-        "AS prompt FROM pairs"
+        f"SELECT conv_id, turn, '{INTRO} ### Instruction ' || text || ' ### Response' || chr(10) "
+        "AS prompt FROM conversations WHERE role = 'user'"
     ),
     "prompt_serving": (
-        f"WITH {TURN_PAIRS} SELECT conv_id, turn, '{INTRO}' || chr(10) || chr(10) || '### Instruction:' || chr(10) "
-        "|| prompt || chr(10) || chr(10) || '### Response:' || chr(10) AS prompt FROM pairs"
+        f"SELECT conv_id, turn, '{INTRO}' || chr(10) || chr(10) || '### Instruction:' || chr(10) "
+        "|| text || chr(10) || chr(10) || '### Response:' || chr(10) AS prompt FROM conversations WHERE role = 'user'"
     ),
     "stop_token_cut": "SELECT doc_id, split_part(text || '<|endoftext|>', '<|endoftext|>', 1) AS answer FROM documents",
     "reply_extract": "SELECT doc_id, text AS answer FROM documents",
+    "reply_candidates": (
+        "SELECT doc_id, CAST(0 AS INTEGER) AS candidate, text AS answer FROM documents "
+        "UNION ALL SELECT doc_id, 1, lang FROM documents UNION ALL SELECT doc_id, 2, source FROM documents"
+    ),
     "json_extract": "SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events",
     "sql_functions": f"""SELECT doc_id, {NORMALIZED} AS cleaned, {training('text', 'lang')} AS prompt,
       split_part(text, '<|endoftext|>', 1) AS answer,
@@ -176,7 +188,8 @@ ORACLES: dict[str, str] = {
         f"SELECT doc_id, {scrubbed('text')} AS text, CAST(len({found('text')}) AS INTEGER) AS n_entities FROM documents"
     ),
     "entity_scrub_detector": (
-        "SELECT doc_id, list_reduce(list_transform(regexp_extract_all(text, '[A-Z0-9]{4,}'), lambda w: [w]), "
+        "SELECT doc_id, list_reduce(list_transform(list_filter(regexp_extract_all(text, '[A-Z0-9]{3,}'), "
+        "lambda w: length(w) > 3), lambda w: [w]), "
         "lambda out, w: [replace(out[1], w[1], 'CODE')], [text])[1] AS text FROM documents"
     ),
     "standardize_sources": f"WITH {STANDARD} SELECT *, '2024-01-01 00:00:00' AS stamped FROM standard",
@@ -226,5 +239,8 @@ ORACLES: dict[str, str] = {
     "stream_dedup": KEPT + "= 1",
     "stream_drop_repeats": f"WITH {bands()} SELECT DISTINCT {BAND} FROM bands",
 }
+ORACLES["export_gold"] = f"""SELECT split, format, count(*) AS n_rows, CAST(sum(length(prompt)) AS BIGINT) AS n_chars
+  FROM (SELECT *, {SPLIT.format('prompt')} AS split FROM ({ORACLES['gold_set']})),
+    (SELECT unnest(['shards', 'jsonl']) AS format) GROUP BY split, format"""
 ORACLES["table_upsert"] = ORACLES["upsert_by_id"]
 ORACLES["gold_view"] = ORACLES["gold_set"]

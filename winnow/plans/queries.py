@@ -22,7 +22,7 @@ from winnow.operators import (
     upsert,
 )
 from winnow.plans import training_set
-from winnow.session import materialize, new_path, spread_scan
+from winnow.session import materialize, new_path, own, spread_scan
 from winnow.sources import export, ingest, tables
 from winnow.streaming import jobs
 
@@ -38,7 +38,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents for CPU-bound work, spread over the cores where the file is a single split."""
+    """Documents for CPU-bound work; see ``spread_scan`` for tables of a single split."""
     return spread_scan(table(spark, sf_dir, "documents"), "doc_id")
 
 
@@ -58,8 +58,9 @@ def plain_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _prompted(template: Callable[[str], Column]) -> Query:
-    return lambda spark, sf_dir: turn_pairs(spark, sf_dir).select(
-        "conv_id", "turn", template("prompt").alias("prompt")
+    """Every user turn, answered or not."""
+    return lambda spark, sf_dir: table(spark, sf_dir, "conversations").where("role = 'user'").select(
+        "conv_id", "turn", template("text").alias("prompt")
     )
 
 
@@ -73,7 +74,7 @@ def near_dup_keep(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def near_dup_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, quarantine = dedup.split_duplicates(documents(spark, sf_dir), "doc_id", "text")
-    return quarantine.select("doc_id", "text", "source", *dedup.BAND)
+    return quarantine.select("doc_id", "text", "source", *dedup.BAND, F.array_join("reason", ",").alias("reason"))
 
 
 def _bands(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,7 +95,9 @@ def near_dup_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def near_dup_pair_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = dedup.near_duplicates(documents(spark, sf_dir), "doc_id", "text")
-    return scored.select("a_id", "b_id", F.round(F.col("score").cast("double"), 6).alias("score"))
+    return scored.select(
+        "a_id", "b_id", F.round(F.col("score").cast("double"), 6).alias("score"), F.round("equal_share", 6).alias("equal_share")
+    )
 
 
 def minhash_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -147,6 +150,14 @@ def reply_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", text.reply_text(reply).alias("answer"))
 
 
+def reply_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All answers out of replies with three candidates: the text of a document, its language and its source."""
+    candidates = F.array(*(F.struct(F.col(c).alias("text")) for c in ("text", "lang", "source")))
+    reply = F.to_json(F.struct(F.array(F.struct(candidates.alias("candidates"))).alias("predictions")))
+    answers = table(spark, sf_dir, "documents").select("doc_id", text.reply_texts(reply).alias("answers"))
+    return answers.select("doc_id", F.posexplode("answers").alias("candidate", "answer"))
+
+
 def json_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     return events.select("event_id", F.get_json_object("props", "$.k").cast("bigint").alias("k"))
@@ -175,16 +186,16 @@ def entity_scrub(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _codes_in(texts):
-    """Detector that names every run of capitals and digits of four or more a code."""
+    """Detector that names every run of capitals and digits of three or more a code; three are not sure enough."""
     import re
 
-    find = re.compile(r"[A-Z0-9]{4,}").findall
+    find = re.compile(r"[A-Z0-9]{3,}").findall
     return [[{"word": w, "entity_group": "CODE", "score": len(w) / 5} for w in find(t)] for t in texts]
 
 
 def entity_scrub_detector(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A detector in Python, loaded once per worker; its weakest finds (score 0.8) are the limit."""
-    found = entities.detect("text", lambda: _codes_in)
+    found = entities.detect("text", lambda: _codes_in, "codes")
     docs = documents(spark, sf_dir).withColumn("found", found)
     return entities.scrub_prompts(docs, "found", "text").select("doc_id", "text")
 
@@ -279,6 +290,7 @@ def own_database(spark: SparkSession) -> Iterator[None]:
     home = spark.catalog.currentDatabase()
     name = f"winnow_{uuid.uuid4().hex}"
     tables.use_database(spark, name, new_path(spark, "database"))
+    own(name)
     try:
         yield
     finally:
@@ -350,6 +362,21 @@ def export_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def export_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gold set from both sources to its files: rows of each split in shards and in JSON lines, read back."""
+    path = new_path(spark, "gold-export")
+    training_set.export_splits(training_set.build(_silver(spark, sf_dir)).gold, path)
+    counts = [
+        rows.agg(F.lit(name).alias("split"), F.lit(fmt).alias("format"), F.count("*").alias("n_rows"), F.sum(F.length("prompt")).alias("n_chars"))
+        for name in ("train", "test")
+        for fmt, rows in (
+            ("shards", export.read_shards(spark, f"{path}/{name}")),
+            ("jsonl", export.read_jsonl(spark, f"{path}/jsonl/{name}")),
+        )
+    ]
+    return standardize.consolidate(counts)
+
+
 def export_verify(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "export")
     pairs = turn_pairs(spark, sf_dir)
@@ -405,8 +432,15 @@ def stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _stream(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    path = _run(spark, lambda out, progress: jobs.to_deduplicated(docs, out, progress, "doc_id", "text"))
+    """Documents arrive in four files, one per batch, in the order of their ids: what is kept is what a batch run keeps."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    low, high = docs.agg(F.min("doc_id"), F.max("doc_id")).first()
+    feed, quarter = new_path(spark, "feed"), ((high or 0) - (low or 0)) // 4 + 1
+    for i in range(4):
+        part = docs.where(F.floor((F.col("doc_id") - F.lit(low)) / quarter) == i)
+        part.coalesce(1).write.mode("append").parquet(feed)
+    arriving = ingest.load_stream(spark, "parquet", path=feed, schema=docs.schema, options={"maxFilesPerTrigger": "1"})
+    path = _run(spark, lambda out, progress: jobs.to_deduplicated(arriving, out, progress, "doc_id", "text"))
     return spark.read.parquet(f"{path}/kept").select("doc_id", "text", "source", *dedup.BAND)
 
 
@@ -440,6 +474,7 @@ QUERIES: dict[str, Query] = {
     "prompt_serving": _prompted(prompts.serving_prompt),
     "stop_token_cut": stop_token_cut,
     "reply_extract": reply_extract,
+    "reply_candidates": reply_candidates,
     "json_extract": json_extract,
     "sql_functions": sql_functions,
     "rule_pii_scrub": _map(documents, text=entities.scrub_patterns),
@@ -462,6 +497,7 @@ QUERIES: dict[str, Query] = {
     "preview": preview,
     "hash_split": hash_split,
     "export_manifest": export_manifest,
+    "export_gold": export_gold,
     "export_verify": export_verify,
     "jsonl_roundtrip": jsonl_roundtrip,
     "batch_inference": batch_inference,

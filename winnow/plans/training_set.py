@@ -10,10 +10,13 @@ from pyspark.sql import functions as F
 
 from winnow.functions.prompts import format_prompt
 from winnow.operators import dedup, entities, ids, quality, split, standardize
+from winnow.session import materialize
 from winnow.sources import export, tables
 
 GOLD_COLUMNS = ("prompt", "response", "source")
 
+Find = Callable[[str], Column]
+
 
 @dataclass(frozen=True)
 class TrainingSet:
@@ -29,26 +32,46 @@ class TrainingSet:
 
     @property
     def quarantine(self) -> DataFrame:
-        marked = self.duplicates.withColumn("reason", F.array(F.lit("near_duplicate")))
-        return marked.unionByName(self.rejected, allowMissingColumns=True)
+        return self.duplicates.unionByName(self.rejected, allowMissingColumns=True)
+
+
+def _scrubbed(df: DataFrame, columns: Sequence[str], find: Find) -> DataFrame:
+    return df.withColumns({c: entities.scrub(c, find(c)) for c in columns})
 
 
 def clean_instruct(
-    bronze: DataFrame, find: Callable[[str], Column] = entities.detect_patterns, keep: Sequence[str] = ()
+    bronze: DataFrame,
+    find: Find = entities.detect_patterns,
+    keep: Sequence[str] = (),
+    scrub: Sequence[str] = ("prompt", "response"),
 ) -> DataFrame:
-    """The instruct source with scrubbed prompts; it has the standard columns already."""
-    columns = {"prompt": entities.scrub("prompt", find("prompt")), "response": "response"}
-    return standardize.standardize(bronze, columns, keep=keep)
-
+    """The instruct source, which has the standard columns already; ``scrub`` names those to take personal data out of."""
+    columns = {"prompt": "prompt", "response": "response"}
+    return standardize.standardize(_scrubbed(bronze, scrub, find), columns, keep=keep)
+
+
+def clean_code_gen(
+    bronze: DataFrame,
+    source: str,
+    style: str = "training",
+    keep: Sequence[str] = (),
+    find: Find = entities.detect_patterns,
+    scrub: Sequence[str] = ("instruction", "input", "output"),
+) -> DataFrame:
+    """An (instruction, input, output) source, scrubbed, with the prompt template put in.
 
-def clean_code_gen(bronze: DataFrame, source: str, style: str = "training", keep: Sequence[str] = ()) -> DataFrame:
-    """An (instruction, input, output) source with the prompt template put in."""
+    ``scrub`` names the columns to take personal data out of, before the template goes around them.
+    """
     prompt = format_prompt("instruction", "input", style)
-    return standardize.standardize(bronze, {"prompt": prompt, "response": "output"}, source, keep)
+    return standardize.standardize(_scrubbed(bronze, scrub, find), {"prompt": prompt, "response": "output"}, source, keep)
+
 
+def silver(frames: Sequence[DataFrame], order_by: Sequence[str], start: int = 0) -> DataFrame:
+    """All sources in one frame under consecutive ids, in the order of ``order_by``, a unique key.
 
-def silver(frames: Sequence[DataFrame], order_by: Sequence[str] = (), start: int = 0) -> DataFrame:
-    """All sources in one frame under consecutive ids."""
+    The order decides which of two near-duplicates stays, so it must not be left to the layout.  The sources are
+    computed once, whatever they cost.
+    """
     return ids.assign_ids(standardize.consolidate(frames), order_by, start)
 
 
@@ -73,11 +96,21 @@ def store(built: TrainingSet, kept_table: str, quarantine_table: str, gold_view:
 
 
 def export_splits(
-    gold: DataFrame, path: str, weights: Mapping[str, float] | None = None, shards: int = export.SHARDS
+    gold: DataFrame,
+    path: str,
+    weights: Mapping[str, float] | None = None,
+    shards: int = export.SHARDS,
+    style: str = "training",
 ) -> dict[str, DataFrame]:
-    """Write each split as shards and as JSON lines below ``path``; returns the shard index per split."""
+    """Write each split as shards and as JSON lines below ``path``; returns the shard index per split.
+
+    The gold set is computed once and staged with its split; every output reads that.
+    """
+    names = list(weights) if weights else ["train", "test"]
+    marked = materialize(split.with_split(gold, weights=weights), "gold")
     indexes = {}
-    for name, rows in split.split_by_text(gold, weights=weights).items():
-        indexes[name] = export.write_shards(rows, f"{path}/{name}", shards=shards)
+    for name in names:
+        rows = marked.where(F.col("split") == name).drop("split")
+        indexes[name] = export.write_shards(rows, f"{path}/{name}", shards=shards, style=style)
         export.write_jsonl(rows, f"{path}/jsonl/{name}")
     return indexes

@@ -12,23 +12,38 @@ EXPORT_COLUMNS = ("prompt", "response")
 SHARDS = 8
 
 
-def read_shards(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(f"{path}/shards")
-
-
-def shard_index(spark: SparkSession, path: str) -> DataFrame:
-    """One row per shard file: name, number of rows, bytes of text and of the file."""
-    shards = spark.read.parquet(f"{path}/shards")
-    size = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in shards.columns), F.lit(0))
-    return (
-        shards.select(F.col("_metadata.file_name").alias("shard"), "_metadata.file_size", size.alias("size"))
-        .groupBy("shard")
-        .agg(
-            F.count("*").alias("n_rows"),
-            F.sum("size").alias("text_bytes"),
-            F.max("file_size").alias("file_bytes"),
-        )
+# What a shard folder and the index are called by.
+SHARD = "shard"
+INDEX = "shard int, n_files int, n_rows bigint, text_bytes bigint, file_bytes bigint, style string"
+
+
+def _shards(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
+    schema = ", ".join([*(f"{c} string" for c in columns), f"{SHARD} int"])
+    return spark.read.schema(schema).parquet(f"{path}/shards")
+
+
+def read_shards(spark: SparkSession, path: str, columns: Sequence[str] = EXPORT_COLUMNS) -> DataFrame:
+    return _shards(spark, path, columns).drop(SHARD)
+
+
+def shard_index(
+    spark: SparkSession, path: str, columns: Sequence[str] = EXPORT_COLUMNS, shards: int = SHARDS, style: str | None = None
+) -> DataFrame:
+    """One row per shard, empty ones too: files, rows, bytes of text and of the files, prompt style."""
+    written = _shards(spark, path, columns)
+    size = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in columns), F.lit(0))
+    files = written.select(SHARD, F.col("_metadata.file_name").alias("file"), "_metadata.file_size", size.alias("size"))
+    files = files.groupBy(SHARD, "file").agg(
+        F.count("*").alias("n"), F.sum("size").alias("size"), F.max("file_size").alias("file_size")
     )
+    found = files.groupBy(SHARD).agg(
+        F.count("*").cast("int").alias("n_files"),
+        F.sum("n").alias("n_rows"),
+        F.sum("size").alias("text_bytes"),
+        F.sum("file_size").alias("file_bytes"),
+    )
+    every = spark.range(shards).select(F.col("id").cast("int").alias(SHARD))
+    return every.join(found, SHARD, "left").fillna(0).withColumn("style", F.lit(style).cast("string"))
 
 
 def write_shards(
@@ -37,19 +52,24 @@ def write_shards(
     columns: Sequence[str] = EXPORT_COLUMNS,
     shards: int = SHARDS,
     max_rows_per_file: int = 0,
+    tasks_per_shard: int = 1,
+    style: str | None = None,
 ) -> DataFrame:
-    """Write even shards to ``path/shards``, replacing earlier ones, and their merged index to ``path/index``.
+    """Write even shards to ``path/shards/shard=n``, replacing earlier ones, and their merged index to ``path/index``.
 
-    Rows are dealt out in turn, so copies of a row cannot fill one shard.  ``max_rows_per_file`` cuts
-    shards into several files.  Returns the index.
+    Rows are dealt out in turn, so copies of a row cannot fill one shard.  Each shard is written by
+    ``tasks_per_shard`` tasks, a file each; raise it with the size of the set, which else passes through ``shards`` tasks.
+    ``max_rows_per_file`` cuts these files further.  ``style`` names the prompt template in the index, as training and
+    serving wording differ.  Returns the index, which lists empty shards too.
     """
     spark = df.sparkSession
-    writer = df.select(*columns).repartition(shards).write.mode("overwrite")
+    # the number of a partition is that of its shard and writer; dealing by it is the one shuffle
+    dealt = df.select(*columns).repartition(shards * tasks_per_shard)
+    dealt = dealt.withColumn(SHARD, (F.spark_partition_id() % shards).cast("int"))
+    writer = dealt.write.mode("overwrite").partitionBy(SHARD)
     writer.option("maxRecordsPerFile", max_rows_per_file).parquet(f"{path}/shards")
-    shard_index(spark, path).coalesce(1).write.mode("overwrite").json(f"{path}/index")
-    return spark.read.schema("shard string, n_rows bigint, text_bytes bigint, file_bytes bigint").json(
-        f"{path}/index"
-    )
+    shard_index(spark, path, columns, shards, style).coalesce(1).write.mode("overwrite").json(f"{path}/index")
+    return spark.read.schema(INDEX).json(f"{path}/index")
 
 
 def write_jsonl(df: DataFrame, path: str, columns: Sequence[str] = EXPORT_COLUMNS) -> None:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from winnow.operators import dedup, quality
-from winnow.session import materialize, spread_scan
+from winnow.session import materialize, scope, spread_scan
 from winnow.sources.ingest import stamp
 
 ONCE: Mapping[str, object] = {"availableNow": True}
@@ -56,7 +56,8 @@ def to_deduplicated(
     """Upsert a stream of rows into ``path/kept`` and ``path/quarantine``.
 
     Duplicates inside a batch go to the quarantine with a reason, and so do survivors whose band an
-    earlier batch has kept and rows whose prompt has no shingle.  A batch overwrites its own ``batch_id``
+    earlier batch has kept and rows whose prompt has no shingle.  Rows whose id an earlier batch brought are
+    skipped: they are in one of the tables.  A batch overwrites its own ``batch_id``
     partition and looks at earlier ones only, so running it again after a failure changes nothing.  Of
     the kept table only the band columns are read.
     ``path`` and ``checkpoint`` belong together; start a new table with a new checkpoint.
@@ -64,15 +65,25 @@ def to_deduplicated(
     index = ", ".join(f"{c} int" for c in [*dedup.BAND, "batch_id"])
 
     def one_batch(rows: DataFrame, batch: int) -> None:
-        # the batch has several readers, and its files may be few and large
-        rows = spread_scan(materialize(rows, "batch"), id_column)
-        good, aside = quality.split_quality(rows, prompt)
+        spark = rows.sparkSession
+        ids = f"{id_column} {rows.schema[id_column].dataType.simpleString()}, batch_id int"
+        # the batch has several readers; each overwrites the one before, so staging does not grow with the stream
+        rows = materialize(rows, "batch", f"{path}/_staging/batch")
         known = None
         if batch > 0:
-            earlier = rows.sparkSession.read.schema(index).parquet(f"{path}/kept")
-            known = earlier.where(F.col("batch_id") < batch)
+            for part in ("kept", "quarantine"):
+                arrived = spark.read.schema(ids).parquet(f"{path}/{part}").where(F.col("batch_id") < batch)
+                # only ids that occur here matter: the many earlier ones are scanned, not shuffled
+                again = arrived.select(id_column).join(rows.select(id_column), id_column, "left_semi")
+                rows = rows.join(again.distinct(), id_column, "left_anti")
+            known = spark.read.schema(index).parquet(f"{path}/kept").where(F.col("batch_id") < batch)
+        rows = spread_scan(rows, id_column)
+        with scope(spark):
+            one_split(rows, batch, known)
+
+    def one_split(rows: DataFrame, batch: int, known: DataFrame | None) -> None:
+        good, aside = quality.split_quality(rows, prompt)
         kept, quarantine = dedup.split_duplicates(good, id_column, prompt, known=known)
-        quarantine = quarantine.withColumn("reason", F.array(F.lit("near_duplicate")))
         quarantine = quarantine.unionByName(aside, allowMissingColumns=True)
         for name, part in (("quarantine", quarantine), ("kept", kept)):
             part.write.mode("overwrite").parquet(f"{path}/{name}/batch_id={batch}")
@@ -87,13 +98,15 @@ def drop_repeats(
     delay: str,
     columns: Sequence[str],
     spread_by: str | None = None,
-    ways: int = 32,
+    ways: int | None = None,
 ) -> DataFrame:
     """Drop rows whose ``columns`` repeat within ``delay`` of event time; state older than that is freed.
 
     With ``spread_by``, a column that tells copies apart, the copies of a hot key are first thinned out
-    in ``ways`` parts, so that no task gets more than that many of them per batch.
+    in ``ways`` parts (as many as there are shuffle partitions, unless given), so that no task gets more than that
+    many of them per batch.
     """
+    ways = ways or int(stream.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     late = stream.withWatermark(event_time, delay)
     if spread_by is None:
         return late.dropDuplicatesWithinWatermark(list(columns))
