@@ -5,7 +5,7 @@ candidates.  A candidate pair is compared one batch of hashes after another and
 probability that its similarity reaches the threshold is below the chosen miss probability.  What survives is confirmed
 on the full sets.
 
-No bucket is expanded into all its pairs.  Each member is first compared with the least member of its bucket only, which
+No bucket is expanded into all its pairs.  Each member is first compared with its bucket's most central member only, which
 joins groups of near copies at a cost that grows with their size.  Then only members of one bucket that lie in
 different components are compared, block by block inside a task, so no link between components is lost.
 """
@@ -18,11 +18,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from winnow.llm.batches import pieces
+from winnow.operators.ids import assign_ids
 from winnow.session import materialize
 
 PERCENT = 80
@@ -30,9 +31,10 @@ BANDS, ROWS = 40, 5  # a pair at similarity 0.8 shares no band with probability
 BATCH = 40  # hashes compared at a time
 MISS = 1e-7  # posterior probability below which a pair is dropped
 SEED = 71
-BLOCK = 1024  # members of a bucket that one block holds
+BLOCK, BLOCK_SHINGLES = 2048, 1 << 20  # members of a bucket that one block holds, and their shingles (8 bytes each)
+SMALL = 64  # members of a bucket whose pairs may be written out
 MEMO_WORDS = 500_000
-BROADCAST_IDS = 4_000_000  # ids (8 bytes each) that may be broadcast; beyond it the join shuffles
+BROADCAST_IDS = 1_000_000  # candidates (32 bytes each) that may be broadcast; beyond it the joins shuffle
 
 _RANDOM = np.random.default_rng(SEED)
 _FACTORS = _RANDOM.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -90,34 +92,60 @@ def band_keys(sig: np.ndarray) -> np.ndarray:
     return _mix(_mix(total) ^ rows[:, 0]).view(np.int64)
 
 
-SIGNED = "doc_id long, n_shingles long, class binary, shingles binary, bands array<long>"
+SIGNED = "doc_id long, n long, class binary, bands array<long>"
+SETS = "doc_id long, n long, class binary, shingles binary, sig binary"
 
 
-def sign(docs: DataFrame, id: str, text: str, width: int) -> DataFrame:
-    """One row per document; the class is the digest of the set, or of the id where the set is empty."""
+def _class_of(id: int | None, shingles: np.ndarray) -> bytes:
+    """The digest of the set, or of the id where the set is empty."""
+    if len(shingles):
+        return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
+    return hashlib.blake2b(repr(id).encode(), digest_size=16, salt=b"empty").digest()
+
+
+def _shingled(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[list, list[np.ndarray], list[bytes]]]:
+    """Ids, sets and classes of (id, text) rows, a piece at a time."""
+    memo = _WordHashes()
+    for rows in pieces(batches):
+        if len(memo) > MEMO_WORDS:
+            memo.clear()
+        ids = rows.column(0).to_pylist()
+        sets = [shingle_set(t, width, memo) for t in rows.column(1).to_pylist()]
+        yield ids, sets, [_class_of(i, s) for i, s in zip(ids, sets)]
+
+
+def sign(docs: DataFrame, width: int) -> DataFrame:
+    """The class, size and band keys of each (id, text) row; map-only, without the set itself."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = _WordHashes()
-        for rows in pieces(batches):
-            if len(memo) > MEMO_WORDS:
-                memo.clear()
-            ids = rows.column(0).to_pylist()
-            sets = [shingle_set(t, width, memo) for t in rows.column(1).to_pylist()]
-            classes = [
-                hashlib.blake2b(s.tobytes() if len(s) else repr(i).encode(), digest_size=16, salt=b"" if len(s) else b"empty").digest()
-                for i, s in zip(ids, sets)
-            ]
+        for ids, sets, classes in _shingled(batches, width):
             bands = [band_keys(signature(s)).tolist() if len(s) else [] for s in sets]
             columns = [
                 pa.array(ids, pa.int64()),
                 pa.array([len(s) for s in sets], pa.int64()),
                 pa.array(classes, pa.binary()),
-                pa.array([s.tobytes() for s in sets], pa.binary()),
                 pa.array(bands, pa.list_(pa.int64())),
             ]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "class", "shingles", "bands"])
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "class", "bands"])
+
+    return docs.mapInArrow(run, SIGNED)
+
+
+def sets_of(docs: DataFrame, width: int) -> DataFrame:
+    """The class, size, set and signature of each (id, text) row; map-only."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, sets, classes in _shingled(batches, width):
+            columns = [
+                pa.array(ids, pa.int64()),
+                pa.array([len(s) for s in sets], pa.int64()),
+                pa.array(classes, pa.binary()),
+                pa.array([s.tobytes() for s in sets], pa.binary()),
+                pa.array([signature(s).tobytes() for s in sets], pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "class", "shingles", "sig"])
 
-    return docs.select(F.col(id).cast("long"), F.col(text).cast("string")).mapInArrow(run, SIGNED)
+    return docs.mapInArrow(run, SETS)
 
 
 # ---- verification -----------------------------------------------------------------------------
@@ -193,52 +221,84 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
-def _compare_block(rows: list, limits: list[tuple[int, int]], percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of one block, or of two, whose components differ, that meet in no earlier band and survive the screen."""
-    node, component, size, block = (np.concatenate([r[k] for r in rows]) for k in range(4))
-    sig = np.concatenate([r[4] for r in rows])
-    band = np.concatenate([r[5] for r in rows])[0]
+def _shared(sets: list[np.ndarray], one: np.ndarray) -> np.ndarray:
+    """How many members each set shares with one set; all are sorted and without repeats."""
+    flat = np.concatenate(sets)
+    at = np.minimum(np.searchsorted(one, flat), len(one) - 1)
+    heads = np.cumsum([0, *(len(s) for s in sets[:-1])])
+    return np.add.reduceat(one[at] == flat, heads)
+
+
+def _links_of_block(rows: list, limits: list[tuple[int, int]], percent: int) -> list[tuple[int, int]]:
+    """Links of one block, or between two, that join different components.
+
+    A pair is looked at in the first band it shares.  Where the sets are at hand, links are confirmed and join components
+    on the spot, so a block of n members gives n - 1 links at most; else the pairs that survive the screen are given.
+    """
+    node, component, size, block, band = (np.concatenate([r[k] for r in rows]) for k in range(5))
+    sig = np.concatenate([r[5] for r in rows])
+    sets = [s for r in rows for s in r[6]]
     first, second = (np.flatnonzero(block == b) for b in (block.min(), block.max()))
-    empty = np.empty(0, np.int64)
-    found = [(empty, empty)]
-    for i in first if len(first) else []:
+    links = []
+    for i in first:
         others = second[second > i] if block.min() == block.max() else second
         others = others[(component[others] != component[i]) & _similar_size(size[others], size[i], percent)]
         if not len(others):
             continue
-        # equal in an earlier band: compared there
         equal = sig[others].reshape(len(others), BANDS, ROWS) == sig[i].reshape(1, BANDS, ROWS)
-        others = others[equal.all(axis=2).argmax(axis=1) == band]
+        others = others[equal.all(axis=2).argmax(axis=1) == band[0]]
         others = others[plausible(np.broadcast_to(sig[i], (len(others), sig.shape[1])), sig[others], limits)]
-        found.append((np.full(len(others), node[i]), node[others]))
-    return tuple(np.concatenate(c) for c in zip(*found))
-
-
-def across_components(members: DataFrame, labels: DataFrame, signed: DataFrame, percent: int, miss: float) -> DataFrame:
-    """Surviving pairs (a, b) of members of one bucket that lie in different components."""
+        if len(others) and sets[i] is not None:
+            shared = _shared([sets[k] for k in others], sets[i])
+            others = others[100 * shared >= percent * (size[others] + size[i] - shared)]
+        for k in others:
+            if component[k] != component[i]:
+                links.append((min(node[i], node[k]), max(node[i], node[k])))
+                if sets[i] is not None:
+                    component[component == component[k]] = component[i]
+    return links
+
+
+def across_components(members: DataFrame, labels: DataFrame, sets: DataFrame, percent: int, miss: float) -> DataFrame:
+    """(a, b, sure): links, or candidates, between members of one bucket that lie in different components.
+
+    Pairs with a bucket's lead are decided already, so leads stand aside and buckets of two are done.  A bucket of up to
+    ``SMALL`` members travels with signatures only and gives candidates, fewer than half of ``SMALL`` a member; a larger one
+    takes its sets along and gives confirmed links only.
+    """
     limits = batch_limits(percent, miss)
-    labelled = members.join(labels, "node", "left").select(
-        "band", "band_no", "node", F.coalesce("component", "node").alias("component")
+    labelled = members.where("node <> lead").join(labels, "node", "left").select(
+        "band", "band_no", "node", "n", F.coalesce("component", "node").alias("component")
     )
-    mixed = labelled.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("m"))
-    mixed = mixed.where("lo <> hi").select("band", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
+    mixed = labelled.groupBy("band").agg(
+        F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("m"), F.sum("n").alias("shingles")
+    )
+    blocks = F.greatest(F.ceil(F.col("m") / BLOCK), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks")
+    mixed = mixed.where("lo <> hi").select("band", blocks, (F.col("m") > SMALL).alias("large"))
     placed = labelled.join(mixed, "band").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
     # every two blocks of a bucket meet in one group; a bucket of one block is one group
-    paired = placed.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).select(
-        "band", "band_no", "node", "component", "block",
+    paired = placed.drop("n").withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).select(
+        "band", "band_no", "node", "component", "block", "large",
         F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
     )
-    full = paired.join(signed.select("node", "n", "sig"), "node")
+    full = paired.join(sets.select("node", "n", "sig", "shingles"), "node")
+    full = full.withColumn("shingles", F.when(F.col("large"), F.col("shingles")))
     ordered = full.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
-    ordered = ordered.select("band", "i", "j", "node", "component", "n", "block", "sig", "band_no")
+    ordered = ordered.select("band", "i", "j", "node", "component", "n", "block", "band_no", "sig", "shingles")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, key = [], None
-        out = lambda: pa.RecordBatch.from_arrays([pa.array(c) for c in _compare_block(held, limits, percent)], ["a", "b"])
-        for batch in batches:
+
+        def out() -> pa.RecordBatch:
+            links = np.array(_links_of_block(held, limits, percent), np.int64).reshape(-1, 2)
+            sure = pa.array(np.full(len(links), held[0][6][0] is not None))
+            return pa.RecordBatch.from_arrays([pa.array(links[:, 0]), pa.array(links[:, 1]), sure], ["a", "b", "sure"])
+
+        for batch in pieces(batches):
             keys = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in range(3)], axis=1)
-            columns = [batch.column(c).to_numpy().astype(np.int64) for c in range(3, 7)]
-            columns += [_signatures(batch.column(7)), batch.column(8).to_numpy().astype(np.int64)]
+            columns = [batch.column(c).to_numpy().astype(np.int64) for c in range(3, 8)]
+            columns.append(_signatures(batch.column(8)))
+            columns.append([s if s is None else np.frombuffer(s, np.uint64) for s in batch.column(9).to_pylist()])
             cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1), len(keys)] if len(keys) else []
             for a, b in zip(cuts, cuts[1:]):
                 if key != tuple(keys[a]):
@@ -249,8 +309,7 @@ def across_components(members: DataFrame, labels: DataFrame, signed: DataFrame,
         if held:
             yield out()
 
-    pairs = ordered.mapInArrow(run, "a long, b long")
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return ordered.mapInArrow(run, "a long, b long, sure boolean").distinct()
 
 
 # ---- components -------------------------------------------------------------------------------
@@ -291,48 +350,66 @@ def near_duplicates(
     component is the least id that links reach.  A text with fewer words than the width is one shingle; an empty, blank or
     null one has no shingle and no link, and is its own component.  Rows that repeat an id are one document.  Rows with a
     null id join the class of an equal set but start no link; where no row of a class has an id the component is null.
+    ``docs`` is read twice, the second time for candidates only.
     ``kept`` says whether the id is the component's.  Whole texts count; other columns of the input are not read.
     """
-    signed = materialize(sign(docs, id, text, width), "signed")
-    classes = materialize(signed.groupBy("class").agg(F.min("doc_id").alias("node")), "classes")
-
-    first = classes.where("node IS NOT NULL").select("class", F.col("node").alias("doc_id"))
-    # one document of each class; joined on class and id, so copies make no hot key
-    one_each = signed.select("class", "doc_id", "bands").join(first, ["class", "doc_id"], "left_semi")
-    banded = one_each.select(F.col("doc_id").alias("node"), F.posexplode("bands").alias("band_no", "band"))
-    leads = banded.groupBy("band").agg(F.min("node").alias("lead"), F.max("node").alias("last")).where("lead <> last")
-    members = materialize(
-        banded.join(leads.select("band", "lead"), "band").select("band", "band_no", "node", "lead"), "members"
-    )
-    sets = _wanted_sets(signed, classes, members)
-    signatures = materialize(sets.select("node", "n", _signature_column("shingles").alias("sig")), "signatures")
-
-    star = members.where("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
-    links = materialize(confirm(screen(star, signatures, percent, miss), sets, percent), "links")
-    rest = across_components(members, components(links), signatures, percent, miss)
-    more = materialize(confirm(rest, sets, percent), "links")
-    labels = components(links.union(more))
-
-    named = classes.join(labels, "node", "left").select("class", F.coalesce("component", "node").alias("component_id"))
-    rows = signed.select("doc_id", "n_shingles", "class").join(named, "class")
+    texts = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    signed = materialize(sign(texts, width), "signed")
+    classes = assign_ids(signed.groupBy("class").agg(F.min("doc_id").alias("first")), id_column="node")
+
+    # one document of each class, joined on class and id, so copies make no hot key
+    leading = classes.where("first IS NOT NULL").select("class", F.col("first").alias("doc_id"), "node")
+    one_each = signed.select("class", "doc_id", "n", "bands").join(leading, ["class", "doc_id"])
+    banded = one_each.select("node", "n", F.posexplode("bands").alias("band_no", "band"))
+    buckets = banded.groupBy("band").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count("*").alias("m"))
+    shared = banded.join(buckets.where("lo <> hi").select("band", "m"), "band")
+    members = _with_leads(materialize(shared.select("band", "band_no", "node", "n", "m").distinct(), "members"))
+    sets = _wanted_sets(texts, leading, members, width)
+
+    star = members.where("node <> lead").select(F.least("lead", "node").alias("a"), F.greatest("lead", "node").alias("b")).distinct()
+    links = materialize(confirm(screen(star, sets, percent, miss), sets, percent), "links")
+    found = materialize(across_components(members, components(links), sets, percent, miss), "links")
+    more = found.where("sure").select("a", "b").union(confirm(found.where("NOT sure").select("a", "b"), sets, percent))
+    labels = components(links.union(more).union(_repeated_ids(signed, classes)))
+
+    # the least id of each component of several classes
+    inside = labels.union(labels.select(F.col("component").alias("node"), "component").distinct())
+    least = inside.join(classes, "node").groupBy("component").agg(F.min("first").alias("component_id"))
+    named = classes.join(inside.join(least, "component").select("node", "component_id"), "node", "left")
+    named = named.select("class", F.coalesce("component_id", "first").alias("component_id"))
+    rows = signed.select("doc_id", F.col("n").alias("n_shingles"), "class").join(named, "class")
     return rows.select(
         "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")
     )
 
 
-def _wanted_sets(signed: DataFrame, classes: DataFrame, members: DataFrame) -> DataFrame:
-    """(node, n, shingles) of the nodes that are candidates."""
-    wanted = materialize(members.select("node").distinct(), "wanted")
-    small = wanted.count() <= BROADCAST_IDS
-    rows = signed.select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), "class", "shingles")
-    rows = rows.join(F.broadcast(wanted) if small else wanted, "node", "left_semi")
-    rows = rows.join(classes, ["class", "node"], "left_semi")
-    return materialize(rows.dropDuplicates(["node"]).select("node", "n", "shingles"), "sets")
+def _repeated_ids(signed: DataFrame, classes: DataFrame) -> DataFrame:
+    """(a, b): the nodes of an id that stands in several classes, each with the least of them."""
+    ids = signed.where("doc_id IS NOT NULL").select("doc_id", "class", F.xxhash64("class").alias("h"))
+    several = ids.groupBy("doc_id").agg(F.min("h").alias("lo"), F.max("h").alias("hi")).where("lo <> hi").select("doc_id")
+    nodes = ids.join(several, "doc_id", "left_semi").join(classes, "class").select("doc_id", "node").distinct()
+    least = nodes.groupBy("doc_id").agg(F.min("node").alias("a"))
+    return nodes.join(least, "doc_id").select("a", F.col("node").alias("b"))
 
 
-def _signature_column(shingles: str) -> Column:
-    @F.pandas_udf("binary")
-    def signatures(column):
-        return column.map(lambda s: signature(np.frombuffer(s, np.uint64)).tobytes())
+def _with_leads(members: DataFrame) -> DataFrame:
+    """The members of each bucket with its lead, the one that meets the most others over all its buckets.
 
-    return signatures(shingles)
+    Near copies of one text lie closer to it than to each other, and it meets them all, so it leads.
+    """
+    met = members.groupBy("node").agg(F.sum("m").alias("met"))
+    ranked = members.join(met, "node").groupBy("band").agg(F.max(F.struct("met", -F.col("node"))).alias("top"))
+    leads = ranked.select("band", (-F.col("top.col2")).alias("lead"))
+    return materialize(members.join(leads, "band").select("band", "band_no", "node", "n", "lead"), "members")
+
+
+def _wanted_sets(texts: DataFrame, leading: DataFrame, members: DataFrame, width: int) -> DataFrame:
+    """(node, n, shingles, sig) of the nodes that are candidates, made again from their texts: most texts are no candidate."""
+    wanted = materialize(leading.join(members.select("node").distinct(), "node", "left_semi"), "wanted")
+    n = wanted.count()
+    small = F.broadcast(wanted) if n <= BROADCAST_IDS else wanted
+    found = sets_of(texts.join(small.select("doc_id").distinct(), "doc_id", "left_semi"), width)
+    sets = materialize(found.join(small, ["class", "doc_id"]).select("node", "n", "shingles", "sig"), "sets")
+    if sets.count() > n:  # some rows repeat both id and text
+        sets = materialize(sets.dropDuplicates(["node"]), "sets")
+    return sets
