@@ -14,6 +14,7 @@ INTRO = (
 BAND_COEFFICIENTS = ((1562431131, 117392763), (1467211249, 102948884), (662969971, 2023087525))
 
 PUNCTUATION = "!\"#$%&''()*+,-./:;<=>?@[\\]^_`{|}~"
+UNPRINTABLE = r"[\x00-\x08\x0b-\x1f\x7f-\x{9f}\p{Cf}]"
 SPACES = r"[\t\n\x0b\f\r\x1c-\x1f\x{85}\p{Z} ]+"
 PATTERNS = {
     "EMAIL": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
@@ -155,7 +156,7 @@ ORACLES: dict[str, str] = {
     "collapse_whitespace": f"SELECT doc_id, trim(regexp_replace(text, '{SPACES}', ' ', 'g')) AS text FROM documents",
     "normalize_text": f"SELECT doc_id, {NORMALIZED} AS text FROM documents",
     "remove_bad_characters": (
-        r"SELECT doc_id, regexp_replace(text, '[\x00-\x08\x0b-\x1f\x7f-\x{9f}\p{Cf}]', '', 'g') AS text FROM documents"
+        f"SELECT doc_id, regexp_replace(text, '{UNPRINTABLE}', '', 'g') AS text FROM documents"
     ),
     "nfc_text": "SELECT doc_id, nfc_normalize(text) AS text FROM documents",
     "text_length": (
@@ -164,7 +165,10 @@ ORACLES: dict[str, str] = {
     "min_length_filter": (
         f"SELECT * FROM (SELECT doc_id, {NORMALIZED} AS text FROM documents) WHERE length(text) > 50"
     ),
-    "prompt_training": f"SELECT doc_id, {training('text', 'lang')} AS prompt FROM documents",
+    "prompt_training": (
+        f"SELECT doc_id, {training('text', 'context')} AS prompt "
+        "FROM (SELECT *, substr(lang, 1, CAST(doc_id % 3 AS INTEGER)) AS context FROM documents)"
+    ),
     "prompt_inference": (
         f"SELECT conv_id, turn, '{INTRO} ### Instruction ' || text || ' ### Response' || chr(10) "
         "AS prompt FROM conversations WHERE role = 'user'"
@@ -181,6 +185,11 @@ ORACLES: dict[str, str] = {
     ),
     "json_extract": "SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events",
     "sql_functions": f"""SELECT doc_id, {NORMALIZED} AS cleaned, {training('text', 'lang')} AS prompt,
+      '{INTRO} ### Instruction ' || text || ' ### Response' || chr(10) AS asked,
+      '{INTRO}' || chr(10) || chr(10) || '### Instruction:' || chr(10) || text || chr(10) || chr(10) || '### Response:' || chr(10) AS served,
+      translate(text, '{PUNCTUATION}', '') AS stripped, trim(regexp_replace(text, '{SPACES}', ' ', 'g')) AS collapsed,
+      regexp_replace(text, '{UNPRINTABLE}', '', 'g') AS printable, nfc_normalize(text) AS composed,
+      {replaced('text')} AS scrubbed, {scrubbed('text')} AS replaced, text AS reply,
       split_part(text, '<|endoftext|>', 1) AS answer,
       round(CAST(CASE WHEN n_chars = 3 THEN 1.0 ELSE 0.5 END AS DOUBLE), 6) AS score FROM documents""",
     "rule_pii_scrub": f"SELECT doc_id, {replaced('text')} AS text FROM documents",
@@ -200,7 +209,8 @@ ORACLES: dict[str, str] = {
       SELECT doc_id, concat_ws(',', CASE WHEN text IS NULL THEN 'null_text' END,
         CASE WHEN lang IS NULL THEN 'null_lang' END, CASE WHEN length(text) < 13 THEN 'too_short' END,
         CASE WHEN length({NORMALIZED}) <= 50 THEN 'below_threshold' END) AS reason
-      FROM documents) WHERE reason <> ''""",
+      FROM (SELECT doc_id, CASE WHEN doc_id % 97 <> 0 THEN text END AS text, nullif(lang, 'es') AS lang FROM documents))
+    WHERE reason <> ''""",
     "upsert_by_id": """SELECT doc_id, text, CASE WHEN EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)
       THEN 'target' ELSE 'inserted' END AS origin FROM documents d""",
     "upsert_by_band": f"""WITH {bands()},

@@ -132,9 +132,10 @@ def min_length_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def prompt_training(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Instruction and context form over documents; the context is the language code."""
-    prompt = prompts.training_prompt("text", "lang").alias("prompt")
-    return table(spark, sf_dir, "documents").select("doc_id", prompt)
+    """Instruction and context form over documents; the context is none, one or both letters of the language code."""
+    context = F.expr("substr(lang, 1, int(doc_id % 3))")
+    prompt = prompts.training_prompt("text", "context").alias("prompt")
+    return table(spark, sf_dir, "documents").withColumn("context", context).select("doc_id", prompt)
 
 
 def stop_token_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -167,7 +168,11 @@ def sql_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
     register_all(spark)
     return spark.sql(
         "SELECT doc_id, normalize_text(text) AS cleaned, format_prompt(text, lang) AS prompt, "
-        "cut_at_stop(concat(text, '<|endoftext|>')) AS answer, "
+        "inference_prompt(text) AS asked, serving_prompt(text) AS served, strip_punctuation(text) AS stripped, "
+        "collapse_whitespace(text) AS collapsed, remove_bad_characters(text) AS printable, nfc(text) AS composed, "
+        "scrub_patterns(text) AS scrubbed, scrub_entities(text, detect_patterns(text)) AS replaced, "
+        "reply_text(to_json(named_struct('predictions', array(named_struct('candidates', array(named_struct('text', text))))))) "
+        "AS reply, cut_at_stop(concat(text, '<|endoftext|>')) AS answer, "
         "round(CAST(minhash_score(array(1, 2, CAST(n_chars AS INT)), array(1, 2, 3)) AS DOUBLE), 6) AS score "
         "FROM {docs}",
         docs=documents(spark, sf_dir),
@@ -237,7 +242,11 @@ def gold_set(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, aside = quality.split_quality(documents(spark, sf_dir), "text", ["lang"], threshold=50)
+    """Documents without Spanish as a language and with every 97th text missing."""
+    docs = documents(spark, sf_dir).withColumns(
+        {"lang": F.nullif("lang", F.lit("es")), "text": F.when(F.col("doc_id") % 97 != 0, F.col("text"))}
+    )
+    _, aside = quality.split_quality(docs, "text", ["lang"], threshold=50)
     return aside.select("doc_id", F.array_join("reason", ",").alias("reason"))
 
 
