@@ -82,7 +82,7 @@ def test_empty_documents(spark, stages, name):
 
 def test_nulls_and_extra_columns(spark, stages):
     docs = stages["documents"].limit(60).selectExpr("*", "'x' AS score", "1 AS copies")
-    odd = spark.createDataFrame([(10_001, None, None, None, None, None, None), (None, "no id at all", "en", "s", 12, "y", 2)], docs.schema)
+    odd = spark.createDataFrame([(10_001, None, None, None, None, None, None), (None, "no id at all", "en", "s", 12, "y", 2)], "doc_id long, text string, lang string, source string, n_chars long, score string, copies int")
     df = docs.union(odd)
     for name, stage in corpus_pipeline.STAGES:
         out = stage(spark, df, SF)

@@ -17,11 +17,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from winnow.llm.batches import pieces
+
 #: The code points that the splitting pattern takes as white space.
 SPACE = "".join(map(chr, [*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 UNITS = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
 
-MEMO_UNITS = 200_000
+MEMO_UNITS = 150_000
 MEMO_CHARS = 64  # longer units are encoded each time, so the memo stays small whatever the texts
 SLICE_CHARS = 1 << 20
 SPAN = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
@@ -64,10 +66,14 @@ def id_bytes(definition: str) -> list[bytes]:
 class Encoder:
     """Encodes texts unit by unit; ids are packed little-endian unsigned 32-bit integers."""
 
-    def __init__(self, tokenizer):
-        self.tokenizer = tokenizer
+    def __init__(self, definition: str):
+        self.tokenizer = load_tokenizer(definition)
+        self.bytes_of = id_bytes(definition)
         self.memo: dict[str, bytes] = {}
 
+    def decoded(self, packed: bytes) -> bytes:
+        return b"".join([self.bytes_of[i] for i in np.frombuffer(packed, "<u4").tolist()])
+
     def packed(self, texts: list[str]) -> list[bytes]:
         cut = [UNITS.findall(t) for t in texts]
         if len(self.memo) > MEMO_UNITS:
@@ -90,6 +96,18 @@ class Encoder:
         return np.array(out, np.int64).reshape(-1, 2)
 
 
+_encoders: dict[str, Encoder] = {}
+
+
+def encoder_of(definition: str) -> Encoder:
+    """The encoder of this process; workers are reused, and one tokenizer each is enough."""
+    key = hashlib.sha256(definition.encode()).hexdigest()
+    if key not in _encoders:
+        _encoders.clear()
+        _encoders[key] = Encoder(definition)
+    return _encoders[key]
+
+
 def _slices(texts: list[str]) -> Iterator[slice]:
     """Runs of texts of about ``SLICE_CHARS`` characters, one text at least."""
     begin = size = 0
@@ -115,32 +133,47 @@ def _spans(found: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs)
 
 
-def encode(docs: DataFrame, tokenizer_path: str, text: str = "text", offsets: bool = False) -> DataFrame:
-    """All rows and columns of ``docs`` with ``ids`` (array of int) and, if asked, ``offsets`` (array of start, end).
+def encode(
+    docs: DataFrame, tokenizer_path: str, text: str = "text", offsets: bool = False, decoded: bool = False
+) -> DataFrame:
+    """All rows and columns of ``docs`` with ``ids`` (array of int) and, if asked, ``offsets`` (array of start, end) and
+    what ``decode`` makes of the ids (``decoded``, ``ids_sha256``), in the same pass over the texts.
 
     Whole texts are encoded, each match of the pattern by itself, without special tokens.  Null counts as empty and gives
     no ids.  The tokenizer file is read on the driver and travels in the task, about 1.5 MB.  Map-only; columns
-    named ``ids`` or ``offsets`` are replaced.
+    named like a result are replaced.
     """
     definition = read_definition(tokenizer_path)
-    docs = docs.drop("ids", *["offsets"] * offsets)
     more = [T.StructField("ids", T.ArrayType(T.IntegerType()))]
     more += [T.StructField("offsets", T.ArrayType(SPAN))] * offsets
+    more += DECODED * decoded
+    docs = docs.drop(*(f.name for f in more))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(load_tokenizer(definition))
-        for batch in batches:
+        encoder = encoder_of(definition)
+        for batch in pieces(batches):
             texts = [t or "" for t in batch.column(text).to_pylist()]
             for part in _slices(texts):
                 rows = batch.slice(part.start, part.stop - part.start)
-                columns = [*rows.columns, _as_lists(encoder.packed(texts[part]))]
+                packed = encoder.packed(texts[part])
+                columns = [*rows.columns, _as_lists(packed)]
                 if offsets:
                     columns.append(_spans([encoder.offsets(t) for t in texts[part]]))
+                if decoded:
+                    columns += _decoded(encoder, packed)
                 yield pa.RecordBatch.from_arrays(columns, [*rows.schema.names, *(f.name for f in more)])
 
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *more]))
 
 
+DECODED = [T.StructField("decoded", T.BinaryType()), T.StructField("ids_sha256", T.StringType())]
+
+
+def _decoded(encoder: Encoder, packed: list[bytes]) -> list[pa.Array]:
+    digests = [hashlib.sha256(p).hexdigest() for p in packed]
+    return [pa.array([encoder.decoded(p) for p in packed], pa.binary()), pa.array(digests, pa.string())]
+
+
 def decode(docs: DataFrame, tokenizer_path: str, ids: str = "ids") -> DataFrame:
     """All rows and columns of ``docs`` with ``decoded`` (binary) and ``ids_sha256`` of the packed ids.
 
@@ -149,19 +182,13 @@ def decode(docs: DataFrame, tokenizer_path: str, ids: str = "ids") -> DataFrame:
     An id outside the vocabulary raises IndexError.
     """
     definition = read_definition(tokenizer_path)
-    docs = docs.drop("decoded", "ids_sha256")
-    more = [T.StructField("decoded", T.BinaryType()), T.StructField("ids_sha256", T.StringType())]
+    docs = docs.drop(*(f.name for f in DECODED))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = id_bytes(definition)
-        for batch in batches:
-            lists = batch.column(ids)
-            flat = lists.flatten().to_numpy(zero_copy_only=False)
-            lengths = np.array([n or 0 for n in pa.compute.list_value_length(lists).to_pylist()], np.int64)
-            rows = np.split(flat, np.cumsum(lengths)[:-1]) if len(lengths) else []
-            decoded = [b"".join([table[i] for i in row.tolist()]) for row in rows]
-            digests = [hashlib.sha256(row.astype("<u4").tobytes()).hexdigest() for row in rows]
-            columns = [*batch.columns, pa.array(decoded, pa.binary()), pa.array(digests, pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, *(f.name for f in more)])
+        encoder = encoder_of(definition)
+        for batch in pieces(batches):
+            packed = [np.array(row or [], "<u4").tobytes() for row in batch.column(ids).to_pylist()]
+            columns = [*batch.columns, *_decoded(encoder, packed)]
+            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, *(f.name for f in DECODED)])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *more]))
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *DECODED]))

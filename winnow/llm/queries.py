@@ -47,8 +47,7 @@ def op2_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    ids = bpe.encode(docs, TOKENIZER).drop("text")
-    return bpe.decode(ids, TOKENIZER).select(
+    return bpe.encode(docs, TOKENIZER, decoded=True).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         "ids_sha256",
