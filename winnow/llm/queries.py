@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from winnow.llm import ann, bayes_dedup, bpe, mixing, pii, quality_vote, secrets, shuffle, topk, url_filter
+from winnow.llm import ann, bayes_dedup, bpe, mixing, pii, quality_vote, runs, secrets, shuffle, topk, url_filter
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")  # the same vocabulary as the rank file
 SHARDS = 40
@@ -164,6 +164,27 @@ def op10_bayes_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bayes_dedup.near_duplicates(table(spark, sf_dir, "documents"), "doc_id", "text", width=2)
 
 
+def op11_square_catching(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of all documents; in a tenth of them, chosen by a hash of the id, the words from some place on are made to loop."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = docs.withColumn("n", mixing.word_count("text")).withColumn("h", F.crc32(F.col("doc_id").cast("string").cast("binary")))
+    docs = docs.withColumn("g", F.floor(F.col("h") / 10)).withColumn("a", F.expr("g % greatest(n, 1)"))
+    period = F.expr("1 + (n - a) div (3 + g % 8)")
+    looped = F.when((F.col("h") % 10 == 0) & (F.col("n") > 0), runs.planted("text", F.col("a"), period)).otherwise(F.col("text"))
+    found = runs.find_runs(docs.select("doc_id", looped.alias("text")), "text")
+    best = runs.strongest("runs")
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(runs.run_lines("runs"), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_term_at_a_time": op1_term_at_a_time,
     "op2_pareto_mix": op2_pareto_mix,
@@ -175,6 +196,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_neighbour_vote": op8_neighbour_vote,
     "op9_external_shuffle": op9_external_shuffle,
     "op10_bayes_minhash": op10_bayes_minhash,
+    "op11_square_catching": op11_square_catching,
 }
 
 ORACLES: dict[str, str] = {"op1_term_at_a_time": OP1_SQL, "op6_temporal_lists": OP6_SQL}
