@@ -10,6 +10,7 @@ from winnow.llm import bpe
 
 JSON = public_tokenizers.path("byte_bpe_50k.json")
 SCHEMA = "doc_id long, text string, ids string, decoded int"
+SCHEMA_NAMES = ["doc_id", "text", "ids", "decoded"]
 
 
 @pytest.fixture(scope="module")
@@ -62,6 +63,12 @@ def test_edge_rows_round_trip(spark, rank_encoding):
     out = bpe.encode(docs, JSON, offsets=True, decoded=True)
     assert out.columns == ["doc_id", "text", "ids", "offsets", "decoded", "ids_sha256"]
     got = out.collect()
+    short = bpe.encode(docs, JSON, ids=False, digests=True)
+    assert short.columns == [*SCHEMA_NAMES, "n_tokens", "ids_sha256", "decoded_sha256", "round_trip"]
+    told = sorted((repr(r.doc_id), r.ids_sha256, r.n_tokens, r.decoded_sha256, r.round_trip) for r in short.collect())
+    assert told == sorted(
+        (repr(r.doc_id), r.ids_sha256, len(r.ids), hashlib.sha256(r.decoded).hexdigest(), True) for r in got
+    )
     apart = bpe.decode(bpe.encode(docs, JSON), JSON).select("doc_id", "text", "ids", "decoded", "ids_sha256")
     assert sorted(map(repr, apart.collect())) == sorted(map(repr, out.select(apart.columns).collect()))
     assert len(got) == len(rows)
@@ -84,3 +91,21 @@ def test_a_cut_through_a_character_decodes_to_its_bytes(spark, encoder):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], SCHEMA)
     assert bpe.decode(bpe.encode(docs, JSON), JSON).collect() == []
+
+
+def test_the_memo_turns_over_and_lets_units_in_at_second_sight(encoder, rank_encoding, monkeypatch):
+    monkeypatch.setattr(bpe, "MEMO_BYTES", 4000)
+    fresh = bpe.Encoder(bpe.read_definition(JSON))
+    pick = random.Random(6)
+    words = ["".join(pick.choices("abcdé中", k=6)) for _ in range(60)]
+    for _ in range(40):
+        texts = [" ".join(pick.choices(words, k=20)) for _ in range(3)]
+        packed, said = fresh.coded(texts)
+        assert said == [t.encode() for t in texts]
+        assert [len(p) // 4 for p in packed] == [len(rank_encoding.encode_ordinary(t)) for t in texts]
+        assert len(fresh.memo.young) + len(fresh.memo.old) <= 2 * 4000 // bpe.ENTRY_BYTES + 2
+    once = bpe.Encoder(bpe.read_definition(JSON))
+    once.coded(["only once"])
+    assert not once.memo.young
+    once.coded(["only once"])
+    assert set(once.memo.young) == {"only", " once"}

@@ -80,11 +80,42 @@ def test_empty_documents(spark, stages, name):
     assert stage(spark, stages["documents"].where("doc_id < 0"), SF).collect() == []
 
 
-def test_nulls_and_extra_columns(spark, stages):
-    docs = stages["documents"].limit(60).selectExpr("*", "'x' AS score", "1 AS copies")
-    odd = spark.createDataFrame([(10_001, None, None, None, None, None, None), (None, "no id at all", "en", "s", 12, "y", 2)], "doc_id long, text string, lang string, source string, n_chars long, score string, copies int")
-    df = docs.union(odd)
-    for name, stage in corpus_pipeline.STAGES:
-        out = stage(spark, df, SF)
-        assert name == "tokens" or out.columns == df.columns
-        assert {10_001, None} & {r.doc_id for r in out.collect()} or name == "mix"
+ODD = "doc_id long, text string, lang string, source string, n_chars long, score string, copies int, size string, __row int"
+
+
+def odd_rows():
+    one, two = "the same words stand here in one row after the other until it is long enough", "another text that has nothing to do with it at all, word for word"
+    texts = [(1, one), (1, one), (2, one + " again"), (3, two), (3, one), (4, None), (4, None), (5, ""), (None, two), (None, "no id at all here"), (None, "no id at all here"), (None, None), (6, "password = hunter2hunter2")]
+    return [(i, t, "en", None if n % 4 == 0 else "s", None if t is None else len(t), f"mine {n}", n, "big", n) for n, (i, t) in enumerate(texts)]
+
+
+def test_near_duplicates_leaves_one_row_of_each_group(spark):
+    docs = spark.createDataFrame(odd_rows(), ODD)
+    out = corpus_pipeline.near_duplicates(spark, docs, SF)
+    left = out.collect()
+    assert out.columns == docs.columns and all(tuple(r) in odd_rows() for r in left)
+    # the two texts of id 3 tie all copies of both to id 1
+    assert sorted((repr(r.doc_id), repr(r.text)[:12]) for r in left) == sorted(
+        [("1", "'the same wo"), ("4", "None"), ("5", "''"), ("None", "None"), ("None", "'no id at al"), ("6", "'password = ")]
+    )
+
+
+@pytest.mark.parametrize("name", ["quality", "near_duplicates", "secrets", "mix"])
+def test_columns_of_the_caller_come_back_unchanged(spark, name):
+    docs = spark.createDataFrame(odd_rows(), ODD)
+    out = dict(corpus_pipeline.STAGES)[name](spark, docs, SF)
+    assert out.dtypes == docs.dtypes
+    given = {r[-1]: r for r in odd_rows()}
+    got = out.collect()
+    assert got
+    for r in got:
+        expected = given[r["__row"]]
+        if name == "secrets" and r.doc_id == 6:
+            assert r.text == "[SECRET]" and r.n_chars == 8 and tuple(r)[5:] == expected[5:]
+        else:
+            assert tuple(r) == expected
+
+
+def test_tokens_of_odd_rows(spark):
+    got = corpus_pipeline.tokens(spark, spark.createDataFrame(odd_rows(), ODD), SF).collect()
+    assert len(got) == len(odd_rows()) and all(r.round_trip and r.n_tokens == len(r.ids) for r in got)

@@ -101,3 +101,23 @@ def test_query(spark, documents):
         digest = ",".join(f"{k}:{a}:{b}" for a, k, b in expected)
         assert r.base_sha256 == hashlib.sha256(digest.encode()).hexdigest()
         assert [r.n_assign, r.n_access, r.n_hex] == [sum(k == kind for _, k, _ in expected) for kind in ("assign", "access", "hex")]
+
+
+def test_a_string_inside_a_long_endpoint_is_not_reported_by_itself():
+    pick = random.Random(9)
+    opaque = "".join(pick.choices("abcDEF123", k=24)) + "aB1"
+    for before in range(8):
+        text = "see https://host.example/?" + "&".join(f"token=part{i}value" for i in range(before)) + f"&q={opaque} end"
+        found = secrets.parts(text, secrets.base_spans(text))
+        ends = [(a, b) for a, role, b, _ in found if role == secrets.ENDPOINT]
+        assert ends and not any(weak and role == secrets.SECRET for _, role, _, weak in found), before
+
+
+def test_overlap_equals_a_scan_of_all_spans():
+    pick = random.Random(2)
+    for _ in range(500):
+        taken = sorted((a, a + pick.randrange(1, 30)) for a in (pick.randrange(60) for _ in range(pick.randrange(7))))
+        starts, reach = [a for a, _ in taken], [max(b for _, b in taken[: i + 1]) for i in range(len(taken))]
+        start = pick.randrange(60)
+        end = start + pick.randrange(1, 10)
+        assert secrets._overlaps(starts, reach, start, end) == any(a < end and b > start for a, b in taken)

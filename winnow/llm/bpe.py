@@ -1,15 +1,17 @@
 """Byte-level BPE with the ``tokenizers`` library over Arrow batches, and its inverse.
 
 Texts are cut into units, white space followed by a word.  No match of the tokenizer's splitting pattern crosses the
-end of a word into white space, so a text's ids are its units' ids in a row.  Words repeat, so each task encodes a
-unit once and keeps its ids as bytes in a bounded memo.
+end of a word into white space, so a text's ids are its units' ids in a row, and its bytes what its units' ids decode to.
+Words repeat, so a worker encodes and decodes such a unit once and keeps both in a memo of bounded size.
 """
 
 from __future__ import annotations
 
 import hashlib
 import json
+import os
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,8 +25,9 @@ from winnow.llm.batches import pieces
 SPACE = "".join(map(chr, [*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 UNITS = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
 
-MEMO_UNITS = 150_000
-MEMO_CHARS = 64  # longer units are encoded each time, so the memo stays small whatever the texts
+MEMO_BYTES = 40 << 20  # of each of the two halves of the memo
+ENTRY_BYTES = 350  # what a unit, its ids and its bytes take as Python objects, beside their contents
+SIGHTS = 1 << 22  # marks of units that were seen once, a byte each
 SLICE_CHARS = 1 << 20
 SPAN = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
 
@@ -40,7 +43,11 @@ def byte_table() -> dict[str, int]:
 
 
 def load_tokenizer(definition: str):
-    """A tokenizer that treats the strings of special tokens as ordinary text."""
+    """A tokenizer that treats the strings of special tokens as ordinary text, without threads of its own.
+
+    A task has one core; the library's thread pool would cost a third more time and memory that grows.
+    """
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_str(definition)
@@ -63,29 +70,74 @@ def id_bytes(definition: str) -> list[bytes]:
     return out
 
 
+class Memo:
+    """Units met at least twice, with (packed ids, decoded bytes).
+
+    Two halves: when the younger one is full it becomes the older one, whose entries come back as they are met again.  A
+    unit is let in at its second sight; half of all units never have one.
+    """
+
+    def __init__(self):
+        self.young: dict[str, tuple[bytes, bytes]] = {}
+        self.old: dict[str, tuple[bytes, bytes]] = {}
+        self.size = self.marked = 0
+        self.once = bytearray(SIGHTS)
+
+    def get(self, unit: str) -> tuple[bytes, bytes] | None:
+        found = self.young.get(unit)
+        if found is None and (found := self.old.get(unit)) is not None:
+            self.put(unit, found)
+        return found
+
+    def put(self, unit: str, made: tuple[bytes, bytes]) -> None:
+        self.young[unit] = made
+        self.size += ENTRY_BYTES + len(unit) + len(made[0]) + len(made[1])
+        if self.size > MEMO_BYTES:
+            self.young, self.old, self.size = {}, self.young, 0
+
+    def offer(self, unit: str, made: tuple[bytes, bytes]) -> None:
+        """Let in a unit that was offered before, or whose mark another unit has set."""
+        at = hash(unit) % SIGHTS
+        if self.once[at]:
+            self.put(unit, made)
+            return
+        self.once[at] = 1
+        self.marked += 1
+        if self.marked > SIGHTS // 4:
+            self.once, self.marked = bytearray(SIGHTS), 0
+
+
 class Encoder:
     """Encodes texts unit by unit; ids are packed little-endian unsigned 32-bit integers."""
 
     def __init__(self, definition: str):
         self.tokenizer = load_tokenizer(definition)
         self.bytes_of = id_bytes(definition)
-        self.memo: dict[str, bytes] = {}
+        self.memo = Memo()
 
     def decoded(self, packed: bytes) -> bytes:
         return b"".join([self.bytes_of[i] for i in np.frombuffer(packed, "<u4").tolist()])
 
-    def packed(self, texts: list[str]) -> list[bytes]:
+    def coded(self, texts: list[str]) -> tuple[list[bytes], list[bytes]]:
+        """The packed ids of each text, and the bytes that they decode to."""
         cut = [UNITS.findall(t) for t in texts]
-        if len(self.memo) > MEMO_UNITS:
-            self.memo.clear()
-        memo = self.memo
-        new = list({u for units in cut for u in units if u not in memo})
-        known = {}
-        for u, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            (memo if len(u) <= MEMO_CHARS else known)[u] = np.array(e.ids, "<u4").tobytes()
-        if known:
-            return [b"".join([known[u] if u in known else memo[u] for u in units]) for units in cut]
-        return [b"".join([memo[u] for u in units]) for units in cut]
+        known, new = {}, []
+        for unit in set().union(*cut):
+            made = self.memo.get(unit)
+            if made is None:
+                new.append(unit)
+            else:
+                known[unit] = made
+        for unit, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
+            ids = e.ids
+            made = array("I", ids).tobytes(), b"".join([self.bytes_of[i] for i in ids])
+            known[unit] = made
+            self.memo.offer(unit, made)
+        found = [[known[u] for u in units] for units in cut]
+        return [b"".join([m[0] for m in row]) for row in found], [b"".join([m[1] for m in row]) for row in found]
+
+    def packed(self, texts: list[str]) -> list[bytes]:
+        return self.coded(texts)[0]
 
     def offsets(self, text: str) -> np.ndarray:
         """Character offsets (start, end) of each id of a text; parts of one split character share its offsets."""
@@ -133,21 +185,42 @@ def _spans(found: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs)
 
 
+DECODED = [T.StructField("decoded", T.BinaryType()), T.StructField("ids_sha256", T.StringType())]
+DIGESTS = [
+    T.StructField("n_tokens", T.LongType()),
+    T.StructField("ids_sha256", T.StringType()),
+    T.StructField("decoded_sha256", T.StringType()),
+    T.StructField("round_trip", T.BooleanType()),
+]
+
+
 def encode(
-    docs: DataFrame, tokenizer_path: str, text: str = "text", offsets: bool = False, decoded: bool = False
+    docs: DataFrame,
+    tokenizer_path: str,
+    text: str = "text",
+    offsets: bool = False,
+    decoded: bool = False,
+    ids: bool = True,
+    digests: bool = False,
 ) -> DataFrame:
-    """All rows and columns of ``docs`` with ``ids`` (array of int) and, if asked, ``offsets`` (array of start, end) and
-    what ``decode`` makes of the ids (``decoded``, ``ids_sha256``), in the same pass over the texts.
+    """All rows and columns of ``docs`` with ``ids`` (array of int) and, if asked, ``offsets`` (array of start, end), what
+    ``decode`` makes of the ids (``decoded``, ``ids_sha256``), and ``digests``: ``n_tokens``, ``ids_sha256``, ``decoded_sha256`` and
+    ``round_trip``, whether the ids decode to the text.  All come from one pass over the texts; with digests and without
+    ids nothing but a few numbers leaves the worker.
 
     Whole texts are encoded, each match of the pattern by itself, without special tokens.  Null counts as empty and gives
-    no ids.  The tokenizer file is read on the driver and travels in the task, about 1.5 MB.  Map-only; columns
+    no ids.  Texts of any length are taken, a few at a time; repeated rows get the same answer each, and an empty table gives
+    an empty result.  The tokenizer file is read on the driver and travels in the task, about 1.5 MB.  Map-only; columns
     named like a result are replaced.
     """
     definition = read_definition(tokenizer_path)
-    more = [T.StructField("ids", T.ArrayType(T.IntegerType()))]
+    more = [T.StructField("ids", T.ArrayType(T.IntegerType()))] * ids
     more += [T.StructField("offsets", T.ArrayType(SPAN))] * offsets
     more += DECODED * decoded
-    docs = docs.drop(*(f.name for f in more))
+    more += [f for f in DIGESTS if f not in more] * digests
+    names = [f.name for f in more]
+    docs = docs.drop(*names)
+    schema = T.StructType([*docs.schema.fields, *more])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of(definition)
@@ -155,18 +228,20 @@ def encode(
             texts = [t or "" for t in batch.column(text).to_pylist()]
             for part in _slices(texts):
                 rows = batch.slice(part.start, part.stop - part.start)
-                packed = encoder.packed(texts[part])
-                columns = [*rows.columns, _as_lists(packed)]
-                if offsets:
-                    columns.append(_spans([encoder.offsets(t) for t in texts[part]]))
-                if decoded:
-                    columns += _decoded(encoder, packed)
-                yield pa.RecordBatch.from_arrays(columns, [*rows.schema.names, *(f.name for f in more)])
-
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *more]))
-
-
-DECODED = [T.StructField("decoded", T.BinaryType()), T.StructField("ids_sha256", T.StringType())]
+                packed, said = encoder.coded(texts[part])
+                sha = lambda made: pa.array([hashlib.sha256(m).hexdigest() for m in made], pa.string())
+                make = {
+                    "ids": lambda: _as_lists(packed),
+                    "offsets": lambda: _spans([encoder.offsets(t) for t in texts[part]]),
+                    "decoded": lambda: pa.array(said, pa.binary()),
+                    "n_tokens": lambda: pa.array([len(p) // 4 for p in packed], pa.int64()),
+                    "ids_sha256": lambda: sha(packed),
+                    "decoded_sha256": lambda: sha(said),
+                    "round_trip": lambda: pa.array([t.encode() == m for t, m in zip(texts[part], said)], pa.bool_()),
+                }
+                yield pa.RecordBatch.from_arrays([*rows.columns, *(make[n]() for n in names)], schema.names)
+
+    return docs.mapInArrow(run, schema)
 
 
 def _decoded(encoder: Encoder, packed: list[bytes]) -> list[pa.Array]:
@@ -178,8 +253,9 @@ def decode(docs: DataFrame, tokenizer_path: str, ids: str = "ids") -> DataFrame:
     """All rows and columns of ``docs`` with ``decoded`` (binary) and ``ids_sha256`` of the packed ids.
 
     The bytes of all ids are joined before anyone reads them as UTF-8, so a character split over several ids comes
-    back whole; ids cut out of a longer row may begin or end within one, hence binary.  Null ids give no bytes.
-    An id outside the vocabulary raises IndexError.
+    back whole; ids cut out of a longer row may begin or end within one, hence binary.  Null ids give no bytes; rows of any
+    length are taken, repeated rows get the same answer each, and an empty table gives an empty result.  An id outside the
+    vocabulary raises IndexError.
     """
     definition = read_definition(tokenizer_path)
     docs = docs.drop(*(f.name for f in DECODED))

@@ -47,12 +47,8 @@ def op2_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return bpe.encode(docs, TOKENIZER, decoded=True).select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        "ids_sha256",
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+    encoded = bpe.encode(docs, TOKENIZER, ids=False, digests=True)
+    return encoded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
 def op4_linked_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,7 +8,9 @@ within reach of each other in the same scope.  A weak part is reported only wher
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -71,17 +73,17 @@ def parts(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, i
         found += [(m.start(), ENDPOINT, m.end(), True) for m in ADDRESS.finditer(text)]
     if _has_run(text, 20):
         taken = sorted((a, b) for a, _, b, _ in found)
+        starts, reach = [a for a, _ in taken], list(accumulate((b for _, b in taken), max))
         for m in OPAQUE.finditer(text):
-            if all(p.search(m[0]) for p in MIXED) and not _overlaps(taken, m.start(), m.end()):
+            if all(p.search(m[0]) for p in MIXED) and not _overlaps(starts, reach, m.start(), m.end()):
                 found.append((m.start(), SECRET, m.end(), True))
     return sorted(found) if any(weak for *_, weak in found) else []
 
 
-def _overlaps(taken: list[tuple[int, int]], start: int, end: int) -> bool:
-    from bisect import bisect_left
-
-    at = bisect_left(taken, (end, -1))
-    return any(b > start for _, b in taken[max(0, at - 3) : at])
+def _overlaps(starts: list[int], reach: list[int], start: int, end: int) -> bool:
+    """Whether a span that begins before ``end`` goes beyond ``start``; ``reach`` is the running maximum of ends."""
+    before = bisect_left(starts, end)
+    return before > 0 and reach[before - 1] > start
 
 
 def scan(docs: DataFrame, text: str) -> DataFrame:
@@ -140,8 +142,9 @@ def find_secrets(docs: DataFrame, text: str = "text", keep: list[str] | None = N
     """The columns of ``keep`` (all but the text, if none are given) with ``base`` and ``spans``, one row per row.
 
     Spans are (start, kind, end) by start, then kind, in code points with the end exclusive; ``kind`` is a place in
-    ``KINDS``.  ``spans`` holds the base spans and the linked ones.  Whole texts are scanned; null and empty ones
-    have no spans; columns named ``base`` or ``spans`` are replaced.
+    ``KINDS``.  ``spans`` holds the base spans and the linked ones.  Whole texts are scanned, of any length; null and empty ones
+    have no spans; repeated rows get the same spans each; an empty table gives an empty result; columns named ``base`` or
+    ``spans`` are replaced.
     """
     kept = [c for c in (keep if keep is not None else docs.columns) if c not in (text, "base", "spans")]
     narrow = _scoped(docs, text).select(*(F.col(f"`{c}`") for c in kept), text, KEY)
@@ -156,7 +159,8 @@ def find_secrets(docs: DataFrame, text: str = "text", keep: list[str] | None = N
 def redact(docs: DataFrame, text: str = "text", reach: int = REACH, mask: str = "[SECRET]") -> DataFrame:
     """All rows and columns; in the text, every secret (base or linked) is replaced by the mask.
 
-    Spans that overlap are masked as one.  Null stays null.  Only the parts go through the join; texts meet the
+    Spans that overlap are masked as one.  Null stays null, repeated rows get the same text each, texts are of any length, and
+    an empty table gives an empty result.  Only the parts go through the join; texts meet the
     linked spans, which are few, by the digest of the text.
     """
     scoped = _scoped(docs.drop(KEY, BASE, PART, LINKED), text)
