@@ -90,3 +90,76 @@ def test_drop_repeats(spark, documents, tmp_path):
         jobs.append_stream(once, out, f"{out}-progress").awaitTermination()
         got = [r.text for r in spark.read.parquet(out).select("text").collect()]
         assert sorted(got) == sorted(r.text for r in documents.select("text").distinct().collect())
+
+
+def test_dedup_reads_nothing_of_earlier_batches(spark, documents, tmp_path):
+    """With the tables of every batch taken away before the next, the rows of the next are still decided rightly."""
+    feed, out, progress = f"{tmp_path}/feed", f"{tmp_path}/out", f"{tmp_path}/progress"
+    expected, kept, aside = ids(dedup.keep_first(documents, "doc_id", "text")), [], []
+    stream = None
+    for i in range(8):
+        part = documents.where(F.floor(F.col("doc_id") / 25) == i)
+        again = documents.where(F.col("doc_id") < 5)  # ids that came before are skipped
+        part.union(again).coalesce(1).write.mode("append").parquet(feed)
+        stream = stream or ingest.load_stream(spark, "parquet", {"maxFilesPerTrigger": "1"}, feed, SCHEMA)
+        query = jobs.to_deduplicated(stream, out, progress, "doc_id", "text")
+        query.awaitTermination()
+        assert query.lastProgress["numInputRows"] == 30
+        kept += ids(spark.read.parquet(f"{out}/kept"))
+        aside += ids(spark.read.parquet(f"{out}/quarantine"))
+        shutil.rmtree(out)
+    assert sorted(kept) == expected and sorted(kept + aside) == list(range(200))
+
+
+def test_dedup_of_a_hot_band_and_odd_rows(spark, tmp_path):
+    """Most rows are copies; the lowest id of the batch is kept, and rows without id or shingle are all accounted for."""
+    same = "one text that most of the rows of this batch have in common"
+    rows = [(900 - i, same, i) for i in range(600)] + [(None, same, -1), (None, same, -1), (None, "another text without any id", -2), (1, None, -3), (2, "short", -4)]
+    feed, out = f"{tmp_path}/feed", f"{tmp_path}/out"
+    spark.createDataFrame(rows, "doc_id long, text string, n int").repartition(5).write.parquet(feed)
+    stream = ingest.load_stream(spark, "parquet", path=feed, schema="doc_id long, text string, n int")
+    jobs.to_deduplicated(stream, out, f"{tmp_path}/progress", "doc_id", "text").awaitTermination()
+    kept = {(r.doc_id, r.text) for r in spark.read.parquet(f"{out}/kept").collect()}
+    assert kept == {(301, same), (None, "another text without any id")}
+    why = {tuple(r.reason): r["count"] for r in spark.read.parquet(f"{out}/quarantine").groupBy("reason").count().collect()}
+    # rows without an id that are equal in everything are one row
+    assert why == {("near_duplicate",): 600, ("null_text",): 1, ("too_short",): 1}
+
+
+def test_kept_apart_frees_state_and_leaves_out_late_rows(spark, tmp_path):
+    feed, out = f"{tmp_path}/feed", f"{tmp_path}/out"
+    at = lambda hours: f"timestamp'2024-01-01' + make_interval(0, 0, 0, 0, {hours}, 0)"
+    batches = [
+        [(1, "a", 0), (2, "a", 1), (3, "b", 1), (4, None, 1)],
+        [(5, "a", 2), (6, "a", 3), (7, "c", 3), (8, "c", 3)],  # 5 is exactly at the bound, 6 beyond it
+        [(9, "b", 9), (10, None, 9), (11, "d", 10)],
+        [(12, "a", 6), (13, "b", 11), (14, "b", 12), (15, "c", None)],  # 12 is late
+        [(16, "e", 30)],
+        [(17, "e", 31)],
+    ]
+    schema, queries = "n long, k string, at timestamp", []
+    for i, rows in enumerate(batches):
+        made = " UNION ALL ".join(f"SELECT {n}L AS n, {repr(k) if k else 'CAST(NULL AS STRING)'} AS k, {at(h) if h is not None else 'CAST(NULL AS TIMESTAMP)'} AS at" for n, k, h in rows)
+        spark.sql(made).coalesce(1).write.mode("append").parquet(feed)
+        stream = ingest.load_stream(spark, "parquet", path=feed, schema=schema)
+        query = jobs.to_kept_apart(stream, out, f"{out}-progress", "at", "2 hours", ["k"], "n")
+        query.awaitTermination()
+        queries.append(query)
+    assert sorted(r.n for r in spark.read.parquet(out).collect()) == [1, 3, 4, 6, 7, 9, 10, 11, 14, 16]
+    operators = [p["stateOperators"][0] for q in queries for p in q.recentProgress]
+    assert sum(o["numRowsDroppedByWatermark"] for o in operators) == 1
+    totals = [o["numRowsTotal"] for o in operators]
+    assert sum(o["numRowsRemoved"] for o in operators) > 0 and totals[-1] < max(totals)
+
+
+def test_keep_apart_does_not_depend_on_the_batches(spark, tmp_path):
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet").select("event_id", F.col("user_id"), F.col("ts").cast("timestamp").alias("ts"))
+    found = []
+    for files in (1, 3):
+        feed = f"{tmp_path}/feed{files}"
+        for i in range(files):
+            events.where(F.floor(F.col("event_id") * files / 1000) == i).coalesce(1).write.mode("append").parquet(feed)
+        stream = ingest.load_stream(spark, "parquet", {"maxFilesPerTrigger": "1"}, feed, events.schema)
+        jobs.to_kept_apart(stream, f"{feed}-out", f"{feed}-progress", "ts", "1 day", ["user_id"], "event_id").awaitTermination()
+        found.append(sorted(r.event_id for r in spark.read.parquet(f"{feed}-out").collect()))
+    assert found[0] == found[1] and 15 < len(found[0]) < 1000

@@ -252,5 +252,14 @@ ORACLES: dict[str, str] = {
 ORACLES["export_gold"] = f"""SELECT split, format, count(*) AS n_rows, CAST(sum(length(prompt)) AS BIGINT) AS n_chars
   FROM (SELECT *, {SPLIT.format('prompt')} AS split FROM ({ORACLES['gold_set']})),
     (SELECT unnest(['shards', 'jsonl']) AS format) GROUP BY split, format"""
+ORACLES["stream_keep_apart"] = """WITH RECURSIVE e AS (
+    SELECT min(event_id) AS event_id, user_id, event_type, epoch_us(ts) AS micros FROM events GROUP BY user_id, event_type, ts
+  ), kept AS (
+    SELECT user_id, event_type, min(micros) AS micros FROM e GROUP BY user_id, event_type
+    UNION ALL
+    SELECT k.user_id, k.event_type, min(e.micros) FROM kept k JOIN e USING (user_id, event_type)
+    WHERE e.micros > k.micros + 6 * 3600 * 1000000::BIGINT GROUP BY k.user_id, k.event_type
+  )
+  SELECT event_id, user_id, event_type, micros FROM kept JOIN e USING (user_id, event_type, micros)"""
 ORACLES["table_upsert"] = ORACLES["upsert_by_id"]
 ORACLES["gold_view"] = ORACLES["gold_set"]

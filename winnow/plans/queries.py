@@ -440,19 +440,43 @@ def stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def _feed(parts: DataFrame, part: str, count: int) -> DataFrame:
+    """A stream of ``count`` files, one a batch, in the order of ``part``; the column itself is left out."""
+    spark, feed = parts.sparkSession, new_path(parts.sparkSession, "feed")
+    parts = materialize(parts, "parts")
+    for i in range(count):
+        parts.where(F.col(part) == i).drop(part).coalesce(1).write.mode("append").parquet(feed)
+    return ingest.load_stream(spark, "parquet", path=feed, schema=parts.drop(part).schema, options={"maxFilesPerTrigger": "1"})
+
+
+def _eighths(rows: DataFrame, column: Column) -> Column:
+    """0 to 7 by equal ranges of a number."""
+    low, high = rows.agg(F.min(column), F.max(column)).first()
+    return F.floor((column - F.lit(low)) / (((high or 0) - (low or 0)) // 8 + 1)).cast("int")
+
+
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents arrive in four files, one per batch, in the order of their ids: what is kept is what a batch run keeps."""
+    """Documents arrive in eight files, one per batch, in the order of their ids: what is kept is what a batch run keeps."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    low, high = docs.agg(F.min("doc_id"), F.max("doc_id")).first()
-    feed, quarter = new_path(spark, "feed"), ((high or 0) - (low or 0)) // 4 + 1
-    for i in range(4):
-        part = docs.where(F.floor((F.col("doc_id") - F.lit(low)) / quarter) == i)
-        part.coalesce(1).write.mode("append").parquet(feed)
-    arriving = ingest.load_stream(spark, "parquet", path=feed, schema=docs.schema, options={"maxFilesPerTrigger": "1"})
+    arriving = _feed(docs.withColumn("part", _eighths(docs, F.col("doc_id"))), "part", 8)
     path = _run(spark, lambda out, progress: jobs.to_deduplicated(arriving, out, progress, "doc_id", "text"))
     return spark.read.parquet(f"{path}/kept").select("doc_id", "text", "source", *dedup.BAND)
 
 
+def stream_keep_apart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events arrive in eight files in the order of time; one of a user and type goes if one was kept in the six hours before.
+
+    The last file also brings the first file's events again under other ids; they are late by then.
+    """
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
+    parted = events.withColumn("part", _eighths(events, F.unix_micros("ts")))
+    again = parted.where("part = 0").withColumns({"event_id": -1 - F.col("event_id"), "part": F.lit(7)})
+    arriving = _feed(parted.unionByName(again), "part", 8)
+    bound, key = "6 hours", ["user_id", "event_type"]
+    path = _run(spark, lambda out, progress: jobs.to_kept_apart(arriving, out, progress, "ts", bound, key, "event_id"))
+    return spark.read.parquet(path).select("event_id", "user_id", "event_type", F.unix_micros("ts").alias("micros"))
+
+
 def stream_drop_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = dedup.bands(ingest.stamp(_stream(spark, sf_dir, "documents"), STAMP), "doc_id", "text", ["update_timestamp"])
     once = jobs.drop_repeats(docs, "update_timestamp", "1 hour", dedup.BAND, spread_by="doc_id")
@@ -514,4 +538,5 @@ QUERIES: dict[str, Query] = {
     "stream_silver": stream_silver,
     "stream_dedup": stream_dedup,
     "stream_drop_repeats": stream_drop_repeats,
+    "stream_keep_apart": stream_keep_apart,
 }

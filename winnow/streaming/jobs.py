@@ -12,9 +12,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from winnow.operators import dedup, quality
-from winnow.session import materialize, scope, spread_scan
+from winnow.functions import minhash
+from winnow.functions.minhash import SHINGLE_WIDTH
+from winnow.operators import dedup
+from winnow.session import materialize
 from winnow.sources.ingest import stamp
+from winnow.streaming import state
 
 ONCE: Mapping[str, object] = {"availableNow": True}
 
@@ -55,41 +58,51 @@ def to_deduplicated(
 ) -> StreamingQuery:
     """Upsert a stream of rows into ``path/kept`` and ``path/quarantine``.
 
-    Duplicates inside a batch go to the quarantine with a reason, and so do survivors whose band an
-    earlier batch has kept and rows whose prompt has no shingle.  Rows whose id an earlier batch brought are
-    skipped: they are in one of the tables.  A batch overwrites its own ``batch_id``
-    partition and looks at earlier ones only, so running it again after a failure changes nothing.  Of
-    the kept table only the band columns are read.
-    ``path`` and ``checkpoint`` belong together; start a new table with a new checkpoint.
+    A row is kept if its band is new to the stream and its id the lowest of that band in its batch.  The others go to the
+    quarantine with a reason: ``near_duplicate``, ``null_<prompt>``, or ``too_short`` for a prompt without a shingle.  Rows
+    whose id came before are skipped: they are in one of the tables.
+
+    Ids and bands are keyed state, so a batch reads no table of earlier ones and costs what its own rows cost, however long
+    the stream has run.  A batch overwrites its own ``batch_id`` partition, and its state is that of the batch before it, so
+    running it again after a failure changes nothing.  ``path`` and ``checkpoint`` belong together; start a new table with a
+    new checkpoint.
     """
-    index = ", ".join(f"{c} int" for c in [*dedup.BAND, "batch_id"])
+    stream = state.new_ids(stream, id_column)
+    good = F.length(prompt) >= SHINGLE_WIDTH
+    hashes = minhash.signature(F.when(good, F.col(prompt)), len(dedup.BAND))
+    banded = stream.withColumn("__hashes", hashes).select(*stream.columns, *minhash.band_hashes("__hashes"))
+    marked = state.first_of_key(banded, id_column, dedup.BAND, "__first")
+    why = (
+        F.when(F.col(prompt).isNull(), F.lit(f"null_{prompt}"))
+        .when(~good, F.lit("too_short"))
+        .when(~F.col("__first"), F.lit("near_duplicate"))
+    )
+    decided = marked.select("*", F.array_compact(F.array(why)).alias("reason")).drop("__first")
 
     def one_batch(rows: DataFrame, batch: int) -> None:
-        spark = rows.sparkSession
-        ids = f"{id_column} {rows.schema[id_column].dataType.simpleString()}, batch_id int"
-        # the batch has several readers; each overwrites the one before, so staging does not grow with the stream
+        # the batch is computed once, as it moves the state on; each overwrites the one before, so staging does not grow
         rows = materialize(rows, "batch", f"{path}/_staging/batch")
-        known = None
-        if batch > 0:
-            for part in ("kept", "quarantine"):
-                arrived = spark.read.schema(ids).parquet(f"{path}/{part}").where(F.col("batch_id") < batch)
-                # only ids that occur here matter: the many earlier ones are scanned, not shuffled
-                again = arrived.select(id_column).join(rows.select(id_column), id_column, "left_semi")
-                rows = rows.join(again.distinct(), id_column, "left_anti")
-            known = spark.read.schema(index).parquet(f"{path}/kept").where(F.col("batch_id") < batch)
-        rows = spread_scan(rows, id_column)
-        with scope(spark):
-            one_split(rows, batch, known)
-
-    def one_split(rows: DataFrame, batch: int, known: DataFrame | None) -> None:
-        good, aside = quality.split_quality(rows, prompt)
-        kept, quarantine = dedup.split_duplicates(good, id_column, prompt, known=known)
-        quarantine = quarantine.unionByName(aside, allowMissingColumns=True)
-        for name, part in (("quarantine", quarantine), ("kept", kept)):
+        for name, part in (("quarantine", rows.where("size(reason) > 0")), ("kept", rows.where("size(reason) = 0").drop("reason"))):
             part.write.mode("overwrite").parquet(f"{path}/{name}/batch_id={batch}")
 
-    writer = stream.writeStream.foreachBatch(one_batch).option("checkpointLocation", checkpoint)
-    return writer.trigger(**trigger).start()
+    with state.rocksdb(stream.sparkSession):
+        writer = decided.writeStream.foreachBatch(one_batch).option("checkpointLocation", checkpoint)
+        return writer.trigger(**trigger).start()
+
+
+def to_kept_apart(
+    stream: DataFrame,
+    path: str,
+    checkpoint: str,
+    event_time: str,
+    bound: str,
+    columns: Sequence[str],
+    order: str,
+    trigger: Mapping[str, object] = ONCE,
+) -> StreamingQuery:
+    """Append the rows that do not repeat a kept one within a bound of event time; see ``state.keep_apart``."""
+    with state.rocksdb(stream.sparkSession):
+        return append_stream(state.keep_apart(stream, event_time, bound, columns, order), path, checkpoint, trigger)
 
 
 def drop_repeats(
