@@ -16,6 +16,7 @@ from winnow.operators import (
     entities,
     inference,
     latest,
+    names,
     quality,
     split,
     standardize,
@@ -205,6 +206,32 @@ def entity_scrub_detector(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entities.scrub_prompts(docs, "found", "text").select("doc_id", "text")
 
 
+def with_names(docs: DataFrame) -> DataFrame:
+    """Documents with a name of a person put in after one of their words; every second one has a title in front.
+
+    Names are made of syllables that follow from the id: ``name`` and ``titled`` say what was put in.
+    """
+    syllables = F.array(*map(F.lit, "ba ke li mo nu ra se ti vo za dre fin gal hel jor pim".split()))
+    digit = lambda i: F.conv(F.substring(F.md5(F.col("doc_id").cast("string")), i, 1), 16, 10).cast("int")
+    made = lambda *at: F.initcap(F.concat(*(F.get(syllables, digit(i)) for i in at)))
+    where = F.get(F.array(*map(F.lit, (" met with ", " as told by ", " wrote to "))), digit(9) % 3)
+    titled = digit(10) % 2 == 0
+    name = F.concat(made(1, 2), F.lit(" "), made(3, 4, 5))
+    said = F.concat(where, F.when(titled, "Dr. ").otherwise(""), name, F.lit(" in town "))
+    place = F.floor(F.length("text") * digit(11) / 32).cast("int") + 1
+    at = F.call_function("locate", F.lit(" "), F.col("text"), place)
+    text = F.when(at > 0, F.concat(F.expr("left(text, at - 1)"), said, F.expr("substr(text, at + 1)"))).otherwise(F.concat("text", said))
+    return docs.withColumn("at", at).select("doc_id", text.alias("text"), name.alias("name"), titled.alias("titled"))
+
+
+def named_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names found by a model that learns from those with a title, in documents of which half have one without."""
+    docs = materialize(with_names(documents(spark, sf_dir)), "named")
+    found = names.detect(docs, names.fit(docs), column="found")
+    sure = F.filter("found", lambda e: e["score"] >= entities.MIN_SCORE)
+    return found.select("doc_id", "name", "titled", F.array_join(F.transform(sure, lambda e: e["word"]), ",").alias("names"))
+
+
 # ---- standard form, ids, quality, upsert ------------------------------------------------------
 
 
@@ -513,6 +540,7 @@ QUERIES: dict[str, Query] = {
     "rule_pii_scrub": _map(documents, text=entities.scrub_patterns),
     "entity_scrub": entity_scrub,
     "entity_scrub_detector": entity_scrub_detector,
+    "named_entities": named_entities,
     "standardize_sources": standardize_sources,
     "consolidate_ids": consolidate_ids,
     "gold_set": gold_set,
