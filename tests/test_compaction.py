@@ -1,0 +1,98 @@
+import random
+from pathlib import Path
+
+import pytest
+
+from winnow.sources import compaction
+from winnow.sources.compaction import DataFile, data_files, pack_small_files, packs
+
+
+@pytest.fixture
+def folder(spark, tmp_path):
+    """One large file, twelve small ones, and two without rows."""
+    path = f"{tmp_path}/table"
+    rows = spark.range(40_000).selectExpr("id", "sha2(string(id), 256) AS text")
+    rows.where("id < 30000").coalesce(1).write.parquet(path)
+    rows.where("id >= 30000").repartition(12).write.mode("append").parquet(path)
+    rows.where("id < 0").repartition(2).write.mode("append").parquet(path)
+    return path, sorted(map(tuple, rows.collect()))
+
+
+def content(spark, path):
+    return sorted(map(tuple, spark.read.parquet(path).collect()))
+
+
+def test_small_files_are_packed_and_large_ones_stay(spark, folder):
+    path, rows = folder
+    before = data_files(spark, path)
+    large = max(before, key=lambda f: f.size)
+    target = large.size // 6
+    inode = Path(path, large.name).stat().st_ino
+    assert pack_small_files(spark, path, target) >= 12
+    after = data_files(spark, path)
+    assert content(spark, path) == rows and large in after and Path(path, large.name).stat().st_ino == inode
+    made = [f for f in after if f.name.startswith(compaction.MARK)]
+    assert len(after) < len(before) and all(f.size <= 1.1 * target for f in made)
+    assert sum(f.size > target / 2 for f in made) >= len(made) - 1
+    assert pack_small_files(spark, path, target) == 0 and data_files(spark, path) == after
+    assert not list(Path(path, compaction.WORK).glob("*"))
+
+
+def test_a_run_that_fails_while_writing_leaves_the_old_set(spark, folder, monkeypatch):
+    path, rows = folder
+    before = data_files(spark, path)
+
+    def fail(*_):
+        raise OSError("disk full")
+
+    monkeypatch.setattr(compaction._Folder, "put", fail)
+    with pytest.raises(OSError):
+        pack_small_files(spark, path, 1 << 20)
+    assert data_files(spark, path) == before and content(spark, path) == rows
+
+
+@pytest.mark.parametrize("step", ["move", "delete"])
+@pytest.mark.parametrize("after", [0, 1, 5])
+def test_a_run_that_fails_while_files_change_place_is_finished_by_the_next(spark, folder, monkeypatch, step, after):
+    path, rows = folder
+    target = max(data_files(spark, path)).size // 8
+    real, calls = getattr(compaction._Folder, step), []
+
+    def sometimes(self, *names):
+        if step == "move" and names[0].endswith(".tmp"):
+            return real(self, *names)
+        calls.append(names)
+        if len(calls) > after:
+            raise OSError("gone")
+        return real(self, *names)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(compaction._Folder, step, sometimes)
+        try:
+            pack_small_files(spark, path, target)
+        except OSError:
+            pass
+    pack_small_files(spark, path, target)
+    assert content(spark, path) == rows
+
+
+def test_only_empty_files(spark, tmp_path):
+    path = f"{tmp_path}/table"
+    for _ in range(3):
+        spark.range(0).write.mode("append").parquet(path)
+    pack_small_files(spark, path)
+    assert spark.read.parquet(path).count() == 0 and len(data_files(spark, path)) == 1
+    assert pack_small_files(spark, path) == 0
+
+
+def test_packs_are_first_fit_decreasing():
+    pick = random.Random(1)
+    for _ in range(200):
+        files = [DataFile(f"f{i}", pick.randrange(1, 130)) for i in range(pick.randrange(30))]
+        found = packs(files, 100)
+        packed = [f for p in found for f in p]
+        assert len(packed) == len(set(packed)) and all(f.size < 100 for f in packed)
+        assert all(sum(f.size for f in p) <= 100 and len(p) > 1 for p in found)
+        alone = [f for f in files if f.size < 100 and f not in packed]
+        sums = [sum(f.size for f in p) for p in found] + [f.size for f in alone]
+        assert all(a + b > 100 for i, a in enumerate(sums) for b in sums[i + 1 :])

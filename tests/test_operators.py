@@ -214,10 +214,13 @@ def test_split(spark, documents):
     assert 1400 < counts["a"] < 1600
 
 
-def test_latest_is_hash_aggregated(spark):
-    df = spark.range(100).selectExpr("id % 7 AS k", "id AS version", "uuid() AS text")
+def test_latest_takes_the_best_of_a_task_before_the_one_exchange(spark, tmp_path):
+    spark.range(100).selectExpr("id % 7 AS k", "id AS version", "uuid() AS text").write.parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t")
     plan = latest.latest_per_key(df, ["k"], "version")._jdf.queryExecution().executedPlan().toString()
-    assert "HashAggregate(keys=[k" in plan and "partial_max(_version" in plan
+    assert plan.count("Exchange hashpartitioning(k") == plan.count("Exchange") == 1 and plan.count("FileScan") == 1
+    assert "Partial" in plan[plan.index("Exchange") :] and "WindowGroupLimit" in plan[plan.index("Exchange") :]
+    assert "Join" not in plan
 
 
 def test_latest_of_null_keys_and_versions(spark):

@@ -135,6 +135,38 @@ def test_shards_and_index(spark, tmp_path):
     assert [(r.shard, r.n_rows) for r in empty.orderBy("shard").collect()] == [(i, 0) for i in range(8)]
 
 
+def test_samples_are_found_through_the_index(spark, tmp_path):
+    path = f"{tmp_path}/out"
+    pairs = spark.range(1000).select(F.concat(F.lit("p"), "id").alias("prompt"), F.lit(None).cast("string").alias("response"))
+    export.write_shards(pairs, path, shards=3, tasks_per_shard=2, max_rows_per_file=70)
+    files = export.sample_index(spark, path).orderBy("first_sample").collect()
+    upto, inside = 0, {}
+    for f in files:
+        assert (f.first_sample, f.first_row) == (upto, inside.get(f.shard, 0)) and f.file_bytes > 0
+        upto += f.n_rows
+        inside[f.shard] = f.first_row + f.n_rows
+    assert upto == 1000
+    # what lies where, from the files themselves
+    expected = {}
+    for f in files:
+        rows = spark.read.parquet(f"{path}/shards/shard={f.shard}/{f.file}").collect()
+        expected.update({f.first_sample + i: (f.shard, f.file, i, r.prompt) for i, r in enumerate(rows)})
+    wanted = spark.createDataFrame([(n,) for n in (*range(0, 1000, 37), 999, 999, 1000, -1, None)], "sample long")
+    got = export.locate(spark, path, wanted).collect()
+    assert {r.sample for r in got} == {*range(0, 1000, 37), 999} and len(got) == 28
+    assert all((r.shard, r.file, r.row, r.prompt) == expected[r.sample] and r.response is None for r in got)
+    every = {r.sample: r.prompt for r in export.numbered(spark, path).collect()}
+    assert every == {n: e[3] for n, e in expected.items()}
+    export.write_shards(pairs.limit(0), path, shards=3)
+    assert export.locate(spark, path, wanted).collect() == []
+
+
+def test_tasks_follow_from_bytes(spark):
+    pairs = spark.range(100).select(F.lit("é" * 50).alias("prompt"), F.lit(None).cast("string").alias("response"))
+    assert export.tasks_for(pairs, export.EXPORT_COLUMNS, 2, task_bytes=1000) == 5
+    assert export.tasks_for(pairs.limit(0), export.EXPORT_COLUMNS, 2) == 1
+
+
 def test_digest_tells_null_from_empty(spark):
     df = spark.createDataFrame([("a", None), ("a", ""), (None, "a"), ("", "a"), ("a:1", "b"), ("a", "1:b")], "prompt string, response string")
     assert df.select(export.row_digest(export.EXPORT_COLUMNS)).distinct().count() == 6

@@ -261,5 +261,10 @@ ORACLES["stream_keep_apart"] = """WITH RECURSIVE e AS (
     WHERE e.micros > k.micros + 6 * 3600 * 1000000::BIGINT GROUP BY k.user_id, k.event_type
   )
   SELECT event_id, user_id, event_type, micros FROM kept JOIN e USING (user_id, event_type, micros)"""
+ORACLES["paged_source"] = "SELECT event_id, epoch_us(ts) AS ts, user_id, event_type, value, props FROM events"
+ORACLES["stream_paged"] = ORACLES["paged_source"]
+ORACLES["export_samples"] = f"""WITH {TURN_PAIRS}
+  SELECT sample, true AS same FROM (SELECT unnest(range(0, count(*), 7)) AS sample FROM pairs)"""
+ORACLES["compact_small_files"] = "SELECT * FROM documents"
 ORACLES["table_upsert"] = ORACLES["upsert_by_id"]
 ORACLES["gold_view"] = ORACLES["gold_set"]

@@ -24,7 +24,7 @@ from winnow.operators import (
 )
 from winnow.plans import training_set
 from winnow.session import materialize, new_path, own, spread_scan
-from winnow.sources import export, ingest, tables
+from winnow.sources import compaction, export, ingest, paged, tables
 from winnow.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -426,6 +426,55 @@ def jsonl_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return export.read_jsonl(spark, path)
 
 
+def _paged_events(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+    """A folder for an export in pages, and the events as pages can hold them."""
+    events = table(spark, sf_dir, "events")
+    return new_path(spark, "export"), events.withColumn("ts", F.unix_micros(F.col("ts").cast("timestamp")))
+
+
+def paged_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events, out of an export in pages of 1,000 rows, four pages a task."""
+    path, events = _paged_events(spark, sf_dir)
+    paged.write_pages(events, path, ["event_id"])
+    return paged.load_pages(spark, path, events.schema, pages_per_task=4)
+
+
+def stream_paged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as a stream that is stopped and started again when more pages are there."""
+    export_path, events = _paged_events(spark, sf_dir)
+    middle = (events.count() // 2000) * 1000
+    out = new_path(spark, "stream")
+    parts = (events.where(F.col("event_id") < middle), 0), (events.where(F.col("event_id") >= middle), middle // 1000)
+    for rows, first in parts:
+        paged.write_pages(rows, export_path, ["event_id"], first=first)
+        stream = paged.stream_pages(spark, export_path, events.schema, pages_per_task=4)
+        jobs.append_stream(stream, out, f"{out}-progress").awaitTermination()
+    return spark.read.schema(events.schema).parquet(out)
+
+
+def export_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seventh sample of an export, found by its number through the index; ``same`` says that a scan in order agrees."""
+    path = new_path(spark, "export")
+    export.write_shards(turn_pairs(spark, sf_dir), path)
+    total = export.sample_index(spark, path).agg(F.sum("n_rows")).first()[0] or 0
+    numbers = spark.range(0, total, 7).withColumnRenamed("id", "sample")
+    found = export.locate(spark, path, numbers)
+    digest = export.row_digest(export.EXPORT_COLUMNS)
+    scanned = export.numbered(spark, path).select(F.col("sample").alias("s"), digest.alias("d"))
+    both = found.withColumn("digest", digest).join(scanned, F.col("sample") == F.col("s"), "left")
+    return both.select("sample", F.coalesce(F.col("digest") == F.col("d"), F.lit(False)).alias("same"))
+
+
+def compact_small_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents in one large file and many small ones: the small ones are packed, the large one is left where it is."""
+    path, docs = new_path(spark, "pieces"), table(spark, sf_dir, "documents")
+    docs.where("doc_id % 3 <> 0").coalesce(1).write.parquet(path)
+    docs.where("doc_id % 3 = 0").repartition(24, "doc_id").write.mode("append").parquet(path)
+    large = max(f.size for f in compaction.data_files(spark, path))
+    compaction.pack_small_files(spark, path, target_bytes=large // 2)
+    return spark.read.parquet(path)
+
+
 # ---- inference --------------------------------------------------------------------------------
 
 
@@ -561,6 +610,10 @@ QUERIES: dict[str, Query] = {
     "export_gold": export_gold,
     "export_verify": export_verify,
     "jsonl_roundtrip": jsonl_roundtrip,
+    "paged_source": paged_source,
+    "stream_paged": stream_paged,
+    "export_samples": export_samples,
+    "compact_small_files": compact_small_files,
     "batch_inference": batch_inference,
     "stream_bronze": stream_bronze,
     "stream_silver": stream_silver,
