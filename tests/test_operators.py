@@ -311,3 +311,73 @@ def test_standardize_by_name(spark):
     assert out.columns == ["prompt", "response", "source", "update_timestamp"]
     both = standardize.consolidate([out, out.select(*reversed(out.columns))])
     assert rows(both, "prompt", "source") == [("a", "s"), ("a", "s")]
+
+
+# ---- resumable inference ------------------------------------------------------------------------
+
+
+def _counting(folder, fails):
+    """A generator that leaves a file for every request it is sent, and fails where ``fails`` says so."""
+    import uuid
+
+    def load():
+        def answer(sent):
+            bad = [r for r in sent if fails(r["prompt"])]
+            for r in sent:
+                with open(f"{folder}/{uuid.uuid4().hex}", "w") as file:
+                    file.write(f"{len(sent)} {sum(len(x['prompt']) for x in sent)} {r['prompt']}")
+            if bad:
+                raise ConnectionError("no answer")
+            return [f'{{"predictions": [{{"candidates": [{{"text": "ok {len(r["prompt"])}"}}]}}]}}' for r in sent]
+
+        return answer
+
+    return load
+
+
+def _sent(folder):
+    return [file.read_text() for file in folder.iterdir()]
+
+
+def test_a_second_run_sends_only_what_failed(spark, tmp_path):
+    rows = [(i, f"question {i % 40}" if i != 7 else None) for i in range(60)]
+    df = spark.createDataFrame(rows, "id int, prompt string").repartition(3)
+    first, second, third = (tmp_path / n for n in ("first", "second", "third"))
+    for folder in (first, second, third):
+        folder.mkdir()
+    ill = lambda p: "question 3\n" in p or "question 21" in p
+    path = f"{tmp_path}/replies"
+    got = {r.id: r for r in inference.send(df, path, _counting(first, ill), attempts=2).collect()}
+    assert len(got) == 60
+    for i, r in got.items():
+        if i == 7:
+            assert (r.request, r.digest, r.answer, r.error, r.runs) == (None,) * 5
+        elif i % 40 in (3, 21):
+            assert r.answer is None and r.error == "ConnectionError: no answer" and r.runs == 1
+        else:
+            assert r.answer.startswith("ok ") and r.error is None
+    # prompt 7 of row 47 is asked for, equal prompts once, the bad ones twice when they stand alone
+    alone = [s for s in _sent(first) if s.startswith("1 ") and ("question 3\n" in s or "question 21" in s)]
+    assert len(alone) == 4 and len({s.split(" ", 2)[2] for s in _sent(first)}) == 40
+    again = {r.id: r for r in inference.send(df, path, _counting(second, lambda p: False), attempts=2).collect()}
+    assert sorted({s.split(" ", 2)[2] for s in _sent(second)}) == sorted({r.request for r in got.values() if r.error})
+    assert all(r.answer and r.error is None and r.runs == 1 + (i % 40 in (3, 21)) for i, r in again.items() if i != 7)
+    inference.send(df, path, _counting(third, lambda p: True)).collect()
+    assert _sent(third) == []
+
+
+def test_batches_are_bounded_by_characters(spark, tmp_path):
+    seen = tmp_path / "seen"
+    seen.mkdir()
+    df = spark.createDataFrame([(i, "x" * (i * 37 % 900)) for i in range(50)], "id int, prompt string").coalesce(1)
+    out = inference.send(df, f"{tmp_path}/replies", _counting(seen, lambda p: False), batch_chars=2000)
+    assert out.where("answer IS NULL").count() == 0
+    assert all(int(s.split(" ")[1]) <= 2000 for s in _sent(seen)) and any(int(s.split(" ")[0]) > 1 for s in _sent(seen))
+    assert [(s.start, s.stop) for s in inference.batches_of([5, 5, 9, 30, 1], 10)] == [(0, 2), (2, 3), (3, 4), (4, 5)]
+    assert list(inference.batches_of([], 10)) == []
+
+
+def test_sending_an_empty_table(spark, tmp_path):
+    df = spark.createDataFrame([], "id int, prompt string, runs string")
+    out = inference.send(df, f"{tmp_path}/replies")
+    assert out.columns == ["id", "prompt", "request", "digest", "reply", "answers", "answer", "error", "runs"] and out.collect() == []

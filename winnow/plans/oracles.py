@@ -266,5 +266,10 @@ ORACLES["stream_paged"] = ORACLES["paged_source"]
 ORACLES["export_samples"] = f"""WITH {TURN_PAIRS}
   SELECT sample, true AS same FROM (SELECT unnest(range(0, count(*), 7)) AS sample FROM pairs)"""
 ORACLES["compact_small_files"] = "SELECT * FROM documents"
+ORACLES["repair_text"] = "SELECT doc_id, text FROM documents"
+ORACLES["resumed_inference"] = f"""WITH sent AS (
+    SELECT doc_id, length('{INTRO}' || '### Instruction:' || text || '### Response:') + 6 AS n FROM documents)
+  SELECT doc_id, n % 3 = 0 AS failed_first, n || ' characters' AS answer, CAST(NULL AS VARCHAR) AS error,
+    CAST(CASE WHEN n % 3 = 0 THEN 2 ELSE 1 END AS BIGINT) AS runs FROM sent"""
 ORACLES["table_upsert"] = ORACLES["upsert_by_id"]
 ORACLES["gold_view"] = ORACLES["gold_set"]

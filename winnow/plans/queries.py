@@ -9,7 +9,7 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from winnow.functions import minhash, prompts, text
+from winnow.functions import minhash, prompts, repair, text
 from winnow.functions.sql import register_all
 from winnow.operators import (
     dedup,
@@ -144,6 +144,15 @@ def stop_token_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", text.cut_at_stop(generated).alias("answer"))
 
 
+def repair_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three of four documents damaged (read as Latin-1, as Windows-1252, as both in turn), one left alone; all repaired."""
+    once, other = repair.misread("text", "ISO-8859-1"), repair.misread("text", "windows-1252")
+    kind = F.col("doc_id") % 4
+    damaged = F.when(kind == 1, once).when(kind == 2, other).when(kind == 3, repair.misread(once)).otherwise(F.col("text"))
+    docs = documents(spark, sf_dir).select("doc_id", damaged.alias("text"))
+    return docs.select("doc_id", repair.repair_decoding("text").alias("text"))
+
+
 def reply_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Answers out of serving replies that carry whole documents."""
     candidates = F.array(F.struct(F.col("text")))
@@ -483,6 +492,35 @@ def batch_inference(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inference.generate(items).select("item_id", "request", "answer")
 
 
+def _unsteady(failing: bool):
+    """A service that answers with the number of characters, and fails on every third request for as long as it is ill."""
+    import json
+
+    def load():
+        def answer(sent):
+            replies = []
+            for r in sent:
+                if failing and len(r["prompt"]) % 3 == 0:
+                    raise ConnectionError("no answer")
+                replies.append(json.dumps({"predictions": [{"candidates": [{"text": f"{len(r['prompt'])} characters"}]}]}))
+            return replies
+
+        return answer
+
+    return load
+
+
+def resumed_inference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents sent to a service that fails for a third of them, then once more; the second run sends only those."""
+    docs = documents(spark, sf_dir).select("doc_id", F.col("text").alias("prompt"))
+    path = new_path(spark, "answers")
+    first = inference.send(docs, path, _unsteady(True), attempts=2, wait=0)
+    failed = first.groupBy("digest").agg(F.count("error").alias("n")).select("digest", (F.col("n") > 0).alias("failed_first"))
+    failed = materialize(failed, "failed")
+    done = inference.send(docs, path, _unsteady(False), attempts=2, wait=0)
+    return done.join(failed, "digest").select("doc_id", "failed_first", "answer", "error", "runs")
+
+
 # ---- streams ----------------------------------------------------------------------------------
 
 
@@ -576,6 +614,7 @@ QUERIES: dict[str, Query] = {
     "normalize_text": _map(documents, text=text.normalize),
     "remove_bad_characters": _map(documents, text=text.remove_bad_characters),
     "nfc_text": _map(documents, text=text.nfc),
+    "repair_text": repair_text,
     "text_length": _map(plain_documents, n=F.length, long=lambda c: text.longer_than(c, 50)),
     "min_length_filter": min_length_filter,
     "prompt_training": prompt_training,
@@ -615,6 +654,7 @@ QUERIES: dict[str, Query] = {
     "export_samples": export_samples,
     "compact_small_files": compact_small_files,
     "batch_inference": batch_inference,
+    "resumed_inference": resumed_inference,
     "stream_bronze": stream_bronze,
     "stream_silver": stream_silver,
     "stream_dedup": stream_dedup,
