@@ -130,6 +130,15 @@ def test_entities_do_not_overlap(values):
     ]
 
 
+def test_national_numbers_and_longer_dotted_ones(values):
+    expected = {
+        "0171 5557713": "PHONE", "ring 0049 30 123456!": "ring PHONE!", "030/1234567": "PHONE", "01 23 45": "01 23 45",
+        "1.2.3.4.5": "1.2.3.4.5", "v1.2.3.4": "v1.2.3.4", "9.1.2.3.4": "9.1.2.3.4", "1.2.3.4.": "IP.", "0.1.2.3 x": "IP x",
+        "2024-01-05": "2024-01-05", "007 12": "007 12",
+    }
+    assert values(entities.scrub_patterns, list(expected)) == list(expected.values())
+
+
 def test_no_phone_number_is_left_in_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     shape = r"\+1 \([0-9]{3}\) [0-9]{3}-[0-9]{4}"

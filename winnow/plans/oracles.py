@@ -22,7 +22,8 @@ PATTERNS = {
     "IP": r"\b(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])\b",
     "PHONE": (
         r"\+[0-9]{1,3}[ .-]?\(?[0-9]{1,4}\)?(?:[ .-]?[0-9]{2,4}){2,4}\b|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}\b"
-        r"|\b[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}\b"
+        r"|\b[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}\b|\b00[1-9][0-9]{0,2}[ -][0-9]{1,4}[ -][0-9]{4,8}\b"
+        r"|\b0[1-9][0-9]{1,3}[ /-][0-9]{5,8}\b"
     ),
 }
 
