@@ -169,14 +169,30 @@ def score_pairs(
     return scored if min_score is None else scored.where(F.col("score") >= min_score)
 
 
+def survivor_pairs(banded: DataFrame, id_column: str = "id") -> DataFrame:
+    """The pairs of ``duplicate_pairs`` without ranks: buckets of several rows with their lowest id, joined back on the band.
+
+    Most buckets hold one row and are gone after the aggregation, which is partial before its shuffle.  Where the
+    others do not fit a broadcast, a hot bucket is one row on their side, so adaptive execution splits the rows that meet it.
+    """
+    several = banded.groupBy(*BAND).agg(F.min(id_column).alias("a_id"), F.max(id_column).alias("_high")).where("a_id <> _high")
+    met = banded.join(several.drop("_high"), BAND).where(F.col(id_column) != F.col("a_id"))
+    return met.select("a_id", F.col(id_column).alias("b_id"))
+
+
 def near_duplicates(
     df: DataFrame, id_column: str = "id", prompt: str = "prompt", min_score: float | None = None
 ) -> DataFrame:
-    """Every duplicate with its survivor and their signature score."""
-    signed = materialize(signatures(df, id_column, prompt), "signatures")
-    pairs = materialize(duplicate_pairs(signed, id_column), "pairs")
-    # most rows are in no pair: their signatures stay where they are
+    """Every duplicate with its survivor and their signature score; ids are unique.
+
+    All rows are hashed for their bands only, three hashes.  Whole signatures are made for the rows of pairs, a few percent
+    of most corpora, from a second scan of ``df``.
+    """
+    pairs = materialize(survivor_pairs(materialize(bands(df, id_column, prompt), "bands"), id_column), "pairs")
     paired = pairs.select(F.col("a_id").alias(id_column)).union(pairs.select("b_id")).distinct()
-    wanted = materialize(signed.join(paired, id_column, "left_semi"), "paired-signatures")
+    few = df.join(paired, id_column, "left_semi").select(id_column, prompt)
+    # few rows with much work each: a number of its own keeps adaptive execution from putting them into one task
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    signed = signatures(few.repartition(tasks, id_column), id_column, prompt)
     # a duplicate occurs once, its survivor as often as its bucket is large
-    return score_pairs(pairs, wanted, id_column, min_score, repeated=["a"])
+    return score_pairs(pairs, materialize(signed, "signatures"), id_column, min_score, repeated=["a"])
