@@ -51,6 +51,20 @@ def test_escaped_texts_hold_no_control_string(formatter):
             assert formatter.template.unescape(escaped) == text
 
 
+def test_ids_and_offsets_equal_those_of_the_library(formatter):
+    """The library itself, with the control strings as special tokens of its own."""
+    from tokenizers import AddedToken, Tokenizer
+
+    library = Tokenizer.from_str(formatter.definition)
+    library.add_special_tokens([AddedToken(c, normalized=False, special=True) for c in chat.CONTROLS])
+    for turns in conversations(7, 400):
+        pieces, _ = formatter.render(turns)
+        ids, spans = formatter.encode(pieces)
+        expected = library.encode("".join(pieces), add_special_tokens=False)
+        assert ids.tolist() == expected.ids
+        assert [tuple(s) for s in spans.tolist()] == expected.offsets
+
+
 def test_pieces_of_a_long_conversation_give_the_same(formatter, monkeypatch):
     turns = [t for c in conversations(4, 60) for t in c]
     whole = formatter.encode(["".join(formatter.render(turns)[0])])

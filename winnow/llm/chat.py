@@ -9,7 +9,6 @@ their own, so no token lies across the border of a turn.
 from __future__ import annotations
 
 import json
-import os
 import re
 from collections.abc import Iterator
 from functools import cached_property
@@ -19,13 +18,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from winnow.llm.bpe import id_bytes, read_definition
+from winnow.llm.bpe import Encoder, read_definition
 from winnow.llm.turns import grouped, stream, together
 
 #: Control strings: (before, after) the text of a turn by role; any other role is written out between the last three.
 MARKS = {"user": ("[INST]", "[/INST]"), "assistant": ("<s>", "</s>"), "system": ("[SYS]", "[/SYS]")}
 ROLE, SAYS, DONE = "[ROLE]", "[SAYS]", "[/ROLE]"
 CONTROLS = (*(m for pair in MARKS.values() for m in pair), ROLE, SAYS, DONE)
+MARK = re.compile(f"({'|'.join(map(re.escape, CONTROLS))})")
 LEARNT = ("assistant",)  # roles that count for the loss
 
 ESCAPED = re.compile(r"\\(.)", re.S)
@@ -79,18 +79,19 @@ class Formatter:
         self.template = Template(tuple(t["content"] for t in json.loads(definition)["added_tokens"]))
 
     @cached_property
-    def tokenizer(self):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # the cluster gives a task one core
-        from tokenizers import AddedToken, Tokenizer
+    def encoder(self) -> Encoder:
+        return Encoder(self.definition)
 
-        tokenizer = Tokenizer.from_str(self.definition)
-        tokenizer.add_special_tokens([AddedToken(c, normalized=False, special=True) for c in CONTROLS])
-        return tokenizer
+    @cached_property
+    def bytes_of(self) -> list[bytes]:
+        """The bytes of every id; control strings have the ids after the vocabulary and its own special tokens."""
+        plain = self.encoder.bytes_of
+        added = [b""] * (self.first_control - len(plain))
+        return [*plain, *added, *(c.encode() for c in CONTROLS)]
 
     @cached_property
-    def bytes_of(self) -> dict[int, bytes]:
-        plain = dict(enumerate(id_bytes(self.definition)))
-        return plain | {self.tokenizer.token_to_id(c): c.encode() for c in CONTROLS}
+    def lengths(self) -> np.ndarray:
+        return np.array(list(map(len, self.bytes_of)), np.int64)
 
     def render(self, turns: list[tuple[str, str]]) -> tuple[list[str], np.ndarray]:
         """A piece of text for each turn, and (start, end) of each turn's text in all of them joined."""
@@ -104,20 +105,54 @@ class Formatter:
         return out, spans
 
     def encode(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and (start, end) of the tokens of all pieces joined; each character is encoded once."""
-        ids, spans, part, size, base = [], [], [], 0, 0
-        for i, piece in enumerate(pieces):
-            part.append(piece)
-            size += len(piece)
-            if size >= ENCODE_CHARS or i == len(pieces) - 1:
-                found = self.tokenizer.encode("".join(part), add_special_tokens=False)
-                ids.append(np.array(found.ids, np.int32))
-                spans.append(np.array(found.offsets, np.int64).reshape(-1, 2) + base)
-                part, size, base = [], 0, base + size
+        """Ids and (start, end) of the tokens of all pieces joined; each character is encoded once.
+
+        Control strings part the text, as texts of turns hold none, and what is between them is encoded by itself.  Where a
+        token begins and ends follows from the bytes of the tokens; parts of a split character have the offsets of the whole.
+        """
+        ids, spans, base = [], [], 0
+        for part in self._parts(pieces):
+            between = MARK.split(part)  # texts and control strings in turn
+            texts = iter(self.encoder.coded(between[::2])[0])
+            packed = [
+                np.array([self.first_control + CONTROLS.index(s)], "<u4") if i % 2 else np.frombuffer(next(texts), "<u4")
+                for i, s in enumerate(between)
+            ]
+            found = np.concatenate(packed)
+            ids.append(found.astype(np.int32))
+            spans.append(self._offsets(part, found) + base)
+            base += len(part)
         if not ids:
             return np.empty(0, np.int32), np.empty((0, 2), np.int64)
         return np.concatenate(ids), np.concatenate(spans)
 
+    @cached_property
+    def first_control(self) -> int:
+        own = [t["id"] + 1 for t in json.loads(self.definition)["added_tokens"]]
+        return max(len(self.encoder.bytes_of), *own, 0)
+
+    @staticmethod
+    def _parts(pieces: list[str]) -> Iterator[str]:
+        """The pieces joined up to about ``ENCODE_CHARS``, so that a long conversation is encoded a part at a time."""
+        held, size = [], 0
+        for piece in pieces:
+            held.append(piece)
+            size += len(piece)
+            if size >= ENCODE_CHARS:
+                yield "".join(held)
+                held, size = [], 0
+        if held:
+            yield "".join(held)
+
+    def _offsets(self, text: str, ids: np.ndarray) -> np.ndarray:
+        ends = np.cumsum(self.lengths[ids])
+        starts = ends - self.lengths[ids]
+        if not text.isascii():
+            begins = (np.frombuffer(text.encode(), np.uint8) & 0xC0) != 0x80
+            upto = np.cumsum(begins)  # characters that begin in the bytes up to each one
+            starts, ends = upto[starts] - 1, upto[ends - 1]
+        return np.stack([starts, ends], axis=1)
+
     def format(self, turns: list[tuple[str, str]]) -> tuple[str, np.ndarray, np.ndarray, np.ndarray]:
         """The rendered text, the ids, their (start, end), and whether each counts for the loss."""
         pieces, spans = self.render(turns)
