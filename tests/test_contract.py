@@ -27,13 +27,17 @@ def comparable(value):
     return round(value, 9) if isinstance(value, float) and not math.isnan(value) else value
 
 
+#: Queries that SQL cannot express; test_names.py holds this one against brute force.
+WITHOUT_SQL = {"named_entities"}
+
+
 def test_every_query_has_sql():
-    assert set(queries.QUERIES) == set(oracles.ORACLES)
+    assert set(queries.QUERIES) - WITHOUT_SQL == set(oracles.ORACLES)
     assert queries.QUERIES.items() <= contract.queries().items()
     assert oracles.ORACLES.items() <= contract.oracle_sql().items()
 
 
-@pytest.mark.parametrize("name", sorted(queries.QUERIES))
+@pytest.mark.parametrize("name", sorted(oracles.ORACLES))
 def test_query_equals_sql(spark, duck, name):
     result = contract.queries()[name](spark, SF)
     columns = sorted(result.columns)
