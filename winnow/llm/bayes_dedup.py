@@ -351,7 +351,8 @@ def near_duplicates(
     null one has no shingle and no link, and is its own component.  Rows that repeat an id are one document.  Rows with a
     null id join the class of an equal set but start no link; where no row of a class has an id the component is null.
     ``docs`` is read twice, the second time for candidates only.
-    ``kept`` says whether the id is the component's.  Whole texts count; other columns of the input are not read.
+    ``kept`` says whether the id is the component's.  Whole texts count; other columns of the input are not read, whatever their
+    names.  Ties cannot arise, as ids are least or not.  An empty table gives an empty result.
     """
     texts = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     signed = materialize(sign(texts, width), "signed")

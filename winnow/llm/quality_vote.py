@@ -135,8 +135,10 @@ def score(docs: DataFrame, model: Model | None, text: str = "text", threshold: f
     """All rows and columns of ``docs`` with ``score`` (0 to 1) and ``predicted`` (1 from the threshold on).
 
     Only the whole text is read.  Null and empty texts score the share of label 1 among the labelled rows; without a model
-    every row scores 0.5, so that nothing is rejected unseen.  Map-only; the model is broadcast.  Columns named ``score`` or
-    ``predicted`` are replaced.
+    every row scores 0.5, so that nothing is rejected unseen.  Of labelled rows that are equally near at the last place of the
+    neighbours, numpy's partition takes some, the same ones in every run.  Repeated rows score alike, texts are of any length,
+    and an empty table gives an empty result.  Map-only; the model is broadcast.  Columns named ``score`` or ``predicted`` are
+    replaced.
     """
     docs = docs.drop("score", "predicted")
     shared = docs.sparkSession.sparkContext.broadcast(model)
