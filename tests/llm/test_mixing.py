@@ -104,3 +104,46 @@ def test_query(spark):
     ]
     assert len(got) == len(rows)
     check(rows, got)
+
+
+def _hash(seed, *values):
+    """Spark's xxhash64 over columns: each value is hashed with the hash before it as the seed; nulls change nothing."""
+    import struct
+
+    import xxhash
+
+    state = 42
+    # the seed is an int literal of four bytes, ids are longs
+    parts = [struct.pack("<i", seed), *(v.encode() if isinstance(v, str) else struct.pack("<q", v) for v in values if v is not None)]
+    for raw in parts:
+        state = xxhash.xxh64_intdigest(raw, state)
+    return state - (1 << 64) if state >> 63 else state
+
+
+def test_the_sample_is_that_of_pareto_ranks(spark):
+    """Ranks worked out again in plain Python, sorted as a whole, and taken until the source's words are met."""
+    import random
+
+    pick = random.Random(12)
+    rows = [(i, "w " * pick.randrange(1, 60), pick.choice("aaaabbc") if i % 17 else None) for i in range(700)]
+    got = {r.doc_id: r for r in mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    partly = 0
+    for source in ("a", "b", "c", None):
+        docs = [(i, t) for i, t, s in rows if s == source]
+        size = sum(t.count("w") for _, t in docs)
+        target = got[docs[0][0]].target
+        whole = min(int(target // size), 2)
+        part, left = target / size - whole, target - whole * size
+        ranked = []
+        for i, t in docs:
+            u = (_hash(mixing.SEED, i, t, source) % (1 << 52) + 0.5) / (1 << 52)
+            q = (u / (1 - u)) * ((1 - part) / part) if part > 0 else 0
+            ranked.append((q / (1 + q), i, t.count("w")))
+        expected, before = {i: whole for i, _ in docs}, 0
+        for _, i, n in sorted(ranked):
+            if part > 0 and before + n / 2 <= left:
+                expected[i] += 1
+                partly += 1
+            before += n
+        assert {i: got[i].copies for i, _ in docs} == expected, source
+    assert partly > 50
