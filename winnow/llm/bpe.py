@@ -11,6 +11,7 @@ import hashlib
 import json
 import os
 import re
+import string
 from array import array
 from collections.abc import Iterator
 
@@ -25,8 +26,11 @@ from winnow.llm.batches import pieces
 SPACE = "".join(map(chr, [*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 UNITS = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
 
-MEMO_BYTES = 40 << 20  # of each of the two halves of the memo
-ENTRY_BYTES = 350  # what a unit, its ids and its bytes take as Python objects, beside their contents
+MEMO_BYTES = 40 << 20  # of each of the two halves of the memo, as counted; in the process it is about three times that
+ENTRY_BYTES = 350  # counted for a unit, its ids and its bytes, beside their contents
+#: A word of Latin letters with punctuation behind it; no match of the pattern crosses from one into the other.
+MARKED = re.compile(rf"([{SPACE}]*[A-Za-zÀ-ÖØ-öø-ɏ]+)([!-/:-@\[-`{{-~]+)")
+MARKS = frozenset(string.punctuation)
 SIGHTS = 1 << 22  # marks of units that were seen once, a byte each
 SLICE_CHARS = 1 << 20
 SPAN = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
@@ -121,21 +125,36 @@ class Encoder:
     def coded(self, texts: list[str]) -> tuple[list[bytes], list[bytes]]:
         """The packed ids of each text, and the bytes that they decode to."""
         cut = [UNITS.findall(t) for t in texts]
-        known, new = {}, []
+        known, new, marked = {}, set(), []
         for unit in set().union(*cut):
-            made = self.memo.get(unit)
-            if made is None:
-                new.append(unit)
-            else:
-                known[unit] = made
-        for unit, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
+            parts = MARKED.fullmatch(unit) if unit[-1] in MARKS else None
+            if parts is None:
+                self._look_up(unit, known, new)
+            else:  # a word is met far more often than a word with a certain mark behind it
+                word, mark = parts.groups()
+                marked.append((unit, word, mark))
+                self._look_up(word, known, new)
+                self._look_up(mark, known, new)
+        todo = list(new)
+        for unit, e in zip(todo, self.tokenizer.encode_batch_fast(todo, add_special_tokens=False)):
             ids = e.ids
             made = array("I", ids).tobytes(), b"".join([self.bytes_of[i] for i in ids])
             known[unit] = made
             self.memo.offer(unit, made)
+        for unit, word, mark in marked:
+            (a, b), (c, d) = known[word], known[mark]
+            known[unit] = a + c, b + d
         found = [[known[u] for u in units] for units in cut]
         return [b"".join([m[0] for m in row]) for row in found], [b"".join([m[1] for m in row]) for row in found]
 
+    def _look_up(self, unit: str, known: dict, new: set) -> None:
+        if unit not in known:
+            made = self.memo.get(unit)
+            if made is None:
+                new.add(unit)
+            else:
+                known[unit] = made
+
     def packed(self, texts: list[str]) -> list[bytes]:
         return self.coded(texts)[0]
 
