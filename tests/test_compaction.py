@@ -3,6 +3,7 @@ from pathlib import Path
 
 import pytest
 
+from winnow.plans import queries
 from winnow.sources import compaction
 from winnow.sources.compaction import DataFile, data_files, pack_small_files, packs
 
@@ -96,3 +97,17 @@ def test_packs_are_first_fit_decreasing():
         alone = [f for f in files if f.size < 100 and f not in packed]
         sums = [sum(f.size for f in p) for p in found] + [f.size for f in alone]
         assert all(a + b > 100 for i, a in enumerate(sums) for b in sums[i + 1 :])
+
+
+def test_the_query_cuts_a_larger_table_into_more_files(spark, documents, tmp_path, monkeypatch):
+    documents.repartition(6, "doc_id").write.parquet(f"{tmp_path}/documents.parquet")
+    monkeypatch.setattr(queries, "PIECE_BYTES", compaction.table_bytes(spark, f"{tmp_path}/documents.parquet") // 3)
+    real, cut = compaction.pack_small_files, []
+
+    def pack(spark, path, target_bytes):
+        cut.extend(data_files(spark, path))
+        return real(spark, path, target_bytes)
+
+    monkeypatch.setattr(compaction, "pack_small_files", pack)
+    out = queries.compact_small_files(spark, str(tmp_path))
+    assert len(cut) > 48 and out.exceptAll(documents).count() == 0 and out.count() == documents.count()

@@ -49,6 +49,9 @@ class _Folder:
         if not self._system.rename(self._at(old), self._at(new)):
             raise OSError(f"cannot rename {old} to {new} in {self.path}")
 
+    def size(self) -> int:
+        return self._system.getContentSummary(self._at("")).getLength()
+
     def delete(self, name: str) -> None:
         self._system.delete(self._at(name), True)
 
@@ -72,6 +75,11 @@ def data_files(spark: SparkSession, path: str) -> list[DataFile]:
     return sorted(f for f in _Folder(spark, path).files() if f.name.endswith(".parquet") and f.name[0] not in "._")
 
 
+def table_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of a parquet file or folder, from one call to its file system."""
+    return _Folder(spark, path).size()
+
+
 def packs(files: list[DataFile], target_bytes: int) -> list[list[DataFile]]:
     """First-fit decreasing: files below the target in packs of at most the target.
 
@@ -106,7 +114,8 @@ def pack_small_files(spark: SparkSession, path: str, target_bytes: int = TARGET_
     rows = spark.read.parquet(*(f"{folder.path}/{f.name}" for pack in plan for f in pack))
     kept = rows.columns
     rows = rows.withColumn("__file", F.col("_metadata.file_name")).join(of, "__file").select(*kept, "__pack")
-    rows.repartition(len(plan), "__pack").write.partitionBy("__pack").parquet(f"{folder.path}/{work}")
+    # by number, not by hash: packs that share a hash would share a task
+    rows.repartitionById(len(plan), "__pack").write.partitionBy("__pack").parquet(f"{folder.path}/{work}")
     old = [f.name for pack in plan for f in pack]
     new = {}
     for i in range(len(plan)):  # a pack of files without rows has none
