@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from winnow.functions.prompts import training_prompt
 from winnow.operators import dedup
 from winnow.sources import ingest
-from winnow.streaming import jobs
+from winnow.streaming import jobs, state
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -163,3 +163,19 @@ def test_keep_apart_does_not_depend_on_the_batches(spark, tmp_path):
         jobs.to_kept_apart(stream, f"{feed}-out", f"{feed}-progress", "ts", "1 day", ["user_id"], "event_id").awaitTermination()
         found.append(sorted(r.event_id for r in spark.read.parquet(f"{feed}-out").collect()))
     assert found[0] == found[1] and 15 < len(found[0]) < 1000
+
+
+def test_keep_apart_calls_for_slots_not_for_keys(spark, tmp_path, monkeypatch):
+    """With as many keys as rows the state is asked for once a slot; odd keys are told apart, rows come out as they came in."""
+    monkeypatch.setattr(state, "KEY_SLOTS", 3)
+    at = "timestamp_micros(1704067200000001 + id * 1000)"
+    rows = spark.range(0, 500).selectExpr("id AS n", f"{at} AS at", "IF(id % 5 = 0, NULL, string(id)) AS k", "IF(id = 7, NULL, -0.0D * (id % 2)) AS d", "named_struct('a', id) AS s")
+    rows = rows.unionByName(rows.withColumn("n", F.col("n") + 1000).withColumn("d", F.col("d") + F.lit(0.0)))
+    rows.repartition(2).write.parquet(f"{tmp_path}/feed")
+    stream = ingest.load_stream(spark, "parquet", path=f"{tmp_path}/feed", schema=rows.schema)
+    query = jobs.to_kept_apart(stream, f"{tmp_path}/out", f"{tmp_path}/progress", "at", "1 hour", ["k", "d"], "n")
+    query.awaitTermination()
+    got = spark.read.parquet(f"{tmp_path}/out")
+    expected = rows.where("n < 1000 AND n % 5 <> 0").union(rows.where("n = 0"))
+    assert got.dtypes == rows.dtypes and got.exceptAll(expected).count() == 0 and got.count() == expected.count()
+    assert max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress) <= 6
