@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from winnow.functions.prompts import training_prompt
 from winnow.operators import dedup
+from winnow.plans import queries
 from winnow.sources import ingest
 from winnow.streaming import jobs, state
 
@@ -179,3 +180,35 @@ def test_keep_apart_calls_for_slots_not_for_keys(spark, tmp_path, monkeypatch):
     expected = rows.where("n < 1000 AND n % 5 <> 0").union(rows.where("n = 0"))
     assert got.dtypes == rows.dtypes and got.exceptAll(expected).count() == 0 and got.count() == expected.count()
     assert max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress) <= 6
+
+
+def test_dedup_asks_no_python_for_a_band_and_skipped_rows_mark_none(spark, tmp_path):
+    """Row 1 comes again with another text, which is skipped: its band is still new when row 5 brings it."""
+    feed, out = f"{tmp_path}/feed", f"{tmp_path}/out"
+    said = {c: " ".join(f"{c}{i * i}" for i in range(20)) for c in "abc"}
+    batches = [[(1, said["a"]), (2, said["b"])], [(1, said["c"])], [(5, said["c"]), (4, said["b"]), (3, None), (None, said["c"])]]
+    for rows in batches:
+        spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.mode("append").parquet(feed)
+    stream = ingest.load_stream(spark, "parquet", {"maxFilesPerTrigger": "1"}, feed, "doc_id long, text string")
+    query = jobs.to_deduplicated(stream, out, f"{tmp_path}/progress", "doc_id", "text")
+    query.awaitTermination()
+    kept, aside = spark.read.parquet(f"{out}/kept"), spark.read.parquet(f"{out}/quarantine")
+    assert {(r.doc_id, r.text, r.batch_id) for r in kept.collect()} == {(1, said["a"], 0), (2, said["b"], 0), (5, said["c"], 2)}
+    why = {(r.doc_id, *r.reason) for r in aside.collect()}
+    assert why == {(4, "near_duplicate"), (3, "null_text"), (None, "near_duplicate")}
+    assert {s["operatorName"] for p in query.recentProgress for s in p["stateOperators"]} == {"dedupe"}
+
+
+def test_feed_has_batches_of_several_files(spark, tmp_path, monkeypatch):
+    """No task writes a whole batch of a large table; a part with few rows does not move the batches behind it."""
+    monkeypatch.setattr(queries, "PIECE_BYTES", 300)
+    rows = spark.range(0, 400).selectExpr("id", "CAST(IF(id < 200, 0, IF(id = 200, 1, 2)) AS INT) AS part")
+    stream = queries._feed(rows, "part", 3).withColumn("file", F.input_file_name())
+    seen = []
+    writer = stream.writeStream.foreachBatch(
+        lambda df, n: seen.append(tuple(df.agg(F.count("*"), F.min("id"), F.count_distinct("file")).first()))
+    )
+    query = writer.option("checkpointLocation", f"{tmp_path}/progress").trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert [s[:2] for s in seen] == [(200, 0), (1, 200), (199, 201)]
+    assert seen[0][2] > 1 and seen[2][2] > 1

@@ -63,30 +63,38 @@ def to_deduplicated(
     whose id came before are skipped: they are in one of the tables.
 
     Ids and bands are keyed state, so a batch reads no table of earlier ones and costs what its own rows cost, however long
-    the stream has run.  A batch overwrites its own ``batch_id`` partition, and its state is that of the batch before it, so
+    the stream has run.  The state only tells which bands are new to the stream; the lowest id of each is found among the
+    rows of the batch.  A batch overwrites its own ``batch_id`` partition, and its state is that of the batch before it, so
     running it again after a failure changes nothing.  ``path`` and ``checkpoint`` belong together; start a new table with a
     new checkpoint.
     """
-    stream = state.new_ids(stream, id_column)
+    unique = [id_column, "__content"]
+    columns = [*stream.columns, *dedup.BAND]
+    rows = state.new_ids(stream, id_column, "__content")
     good = F.length(prompt) >= SHINGLE_WIDTH
     hashes = minhash.signature(F.when(good, F.col(prompt)), len(dedup.BAND))
-    banded = stream.withColumn("__hashes", hashes).select(*stream.columns, *minhash.band_hashes("__hashes"))
-    marked = state.first_of_key(banded, id_column, dedup.BAND, "__first")
+    banded = rows.withColumn("__hashes", hashes).select(*rows.columns, *minhash.band_hashes("__hashes"))
+    marked = state.with_new_keys(banded, unique, dedup.BAND, "__new")
     why = (
-        F.when(F.col(prompt).isNull(), F.lit(f"null_{prompt}"))
-        .when(~good, F.lit("too_short"))
-        .when(~F.col("__first"), F.lit("near_duplicate"))
+        F.when(F.col(prompt).isNull(), F.lit(f"null_{prompt}")).when(~good, F.lit("too_short")).otherwise(F.lit("near_duplicate"))
     )
-    decided = marked.select("*", F.array_compact(F.array(why)).alias("reason")).drop("__first")
+    lowest = F.min(F.struct(F.col(id_column).isNull(), F.col(id_column).alias("id"), F.col("__content").alias("content")))
 
-    def one_batch(rows: DataFrame, batch: int) -> None:
+    def one_batch(batch_rows: DataFrame, batch: int) -> None:
         # the batch is computed once, as it moves the state on; each overwrites the one before, so staging does not grow
-        rows = materialize(rows, "batch", f"{path}/_staging/batch")
-        for name, part in (("quarantine", rows.where("size(reason) > 0")), ("kept", rows.where("size(reason) = 0").drop("reason"))):
+        staged = materialize(batch_rows, "batch", f"{path}/_staging/batch")
+        new, found = staged.where("__new").select(*dedup.BAND), staged.where("NOT __new")
+        # one row a band on both sides, and texts are only met on what tells rows apart
+        first = found.groupBy(*dedup.BAND).agg(lowest.alias("first")).join(new, dedup.BAND, "left_semi").select("first.id", "first.content")
+        first = materialize(first, "first", f"{path}/_staging/first")
+        same = found[id_column].eqNullSafe(first["id"]) & found["__content"].eqNullSafe(first["content"])
+        kept, others = found.join(first, same, "left_semi"), found.join(first, same, "left_anti")
+        aside = others.select(*columns, F.array(why).alias("reason"))
+        for name, part in (("quarantine", aside), ("kept", kept.select(*columns))):
             part.write.mode("overwrite").parquet(f"{path}/{name}/batch_id={batch}")
 
     with state.rocksdb(stream.sparkSession):
-        writer = decided.writeStream.foreachBatch(one_batch).option("checkpointLocation", checkpoint)
+        writer = marked.writeStream.foreachBatch(one_batch).option("checkpointLocation", checkpoint)
         return writer.trigger(**trigger).start()
 
 
