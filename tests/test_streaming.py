@@ -93,6 +93,57 @@ def test_drop_repeats(spark, documents, tmp_path):
         assert sorted(got) == sorted(r.text for r in documents.select("text").distinct().collect())
 
 
+def test_drop_repeats_merges_a_hot_key_without_a_state_of_its_own(spark, tmp_path):
+    """All but a few copies go before the shuffle, into one state; a late copy ahead of one in time does not take it along."""
+    feed, out = f"{tmp_path}/feed", f"{tmp_path}/out"
+    at = "timestamp'2024-01-01' + make_interval(0, 0, 0, 0, {}, 0)"
+    hot = spark.range(0, 3000).selectExpr("id", "array(if(id % 100 = 0, string(id), 'hot')) AS k", f"{at.format('10')} AS at")
+    late = spark.sql(
+        f"SELECT 5000L AS id, array('x') AS k, {at.format('1')} AS at UNION ALL SELECT 5001L, array('x'), {at.format('11')} "
+        f"UNION ALL SELECT 5002L, array('y'), {at.format('1')} UNION ALL SELECT 5003L, array('hot'), {at.format('10')} "
+        f"UNION ALL SELECT 5004L, CAST(NULL AS ARRAY<STRING>), {at.format('11')} UNION ALL SELECT 5005L, NULL, {at.format('11')}"
+    )
+    operators = []
+    for rows in (hot, late):
+        rows.coalesce(1).write.mode("append").parquet(feed)
+        stream = ingest.load_stream(spark, "parquet", path=feed, schema="id long, k array<string>, at timestamp")
+        query = jobs.append_stream(jobs.drop_repeats(stream, "at", "1 hour", ["k"], ahead=True), out, f"{out}-progress")
+        query.awaitTermination()
+        operators += [p["stateOperators"] for p in query.recentProgress]
+    got = [tuple(r.k) if r.k else None for r in spark.read.parquet(out).collect()]
+    assert sorted(k for k in got if k) == sorted([("hot",), ("x",), *((str(i),) for i in range(0, 3000, 100))])
+    assert got.count(None) == 1
+    assert {len(o) for o in operators} == {1}
+    assert sum(o[0]["customMetrics"]["numDroppedDuplicateRows"] for o in operators) < 10
+
+
+def test_latest_of_task_keeps_one_in_time(spark):
+    """Of a key, rows that no earlier one of the task is as late as; rows without a time go where there is another."""
+    times = [("a", 3), ("b", None), ("a", 3), ("a", 2), ("a", 5), ("b", None), ("b", 1), (None, 4), (None, 4)]
+    made = " UNION ALL ".join(f"SELECT {i} AS i, {repr(k) if k else 'CAST(NULL AS STRING)'} AS k, timestamp_seconds({t or 'CAST(NULL AS INT)'}) AS at" for i, (k, t) in enumerate(times))
+    rows = spark.sql(made).coalesce(1).sortWithinPartitions("i")
+    with_size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(with_size)
+    try:
+        found = {}
+        for size in ("100", "1"):
+            spark.conf.set(with_size, size)
+            found[size] = sorted(r.i for r in state.latest_of_task(rows, ["k"], "at").collect())
+    finally:
+        spark.conf.set(with_size, before)
+    assert found == {"100": [4, 6, 7], "1": [0, 1, 4, 6, 7]}
+
+
+def test_stream_drop_repeats_deals_out_texts_and_has_one_state(spark, monkeypatch):
+    started, start, hashed, bands = [], jobs.append_stream, [], dedup.bands
+    monkeypatch.setattr(jobs, "append_stream", lambda *given: started.append(start(*given)) or started[-1])
+    monkeypatch.setattr(dedup, "bands", lambda df, *given: hashed.append(df) or bands(df, *given))
+    rows = queries.stream_drop_repeats(spark, "/root/testdata/sf0.001")
+    assert rows.count() == rows.distinct().count() > 0
+    assert {len(p["stateOperators"]) for p in started[0].recentProgress} == {1}
+    assert "RepartitionByExpression [doc_id" in hashed[0]._jdf.queryExecution().analyzed().toString()
+
+
 def test_dedup_reads_nothing_of_earlier_batches(spark, documents, tmp_path):
     """With the tables of every batch taken away before the next, the rows of the next are still decided rightly."""
     feed, out, progress = f"{tmp_path}/feed", f"{tmp_path}/out", f"{tmp_path}/progress"

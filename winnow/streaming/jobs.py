@@ -120,14 +120,20 @@ def drop_repeats(
     columns: Sequence[str],
     spread_by: str | None = None,
     ways: int | None = None,
+    ahead: bool = False,
 ) -> DataFrame:
     """Drop rows whose ``columns`` repeat within ``delay`` of event time; state older than that is freed.
 
-    With ``spread_by``, a column that tells copies apart, the copies of a hot key are first thinned out
+    With ``ahead``, each task first drops the copies of a key that are no later than one it has seen in the batch, so a hot key
+    is a few rows of each task before the shuffle, at no state of its own; of the copies in a task the latest ones go on.
+
+    With ``spread_by``, a column that tells copies apart, the copies of a hot key are first thinned out by a state of their own
     in ``ways`` parts (as many as there are shuffle partitions, unless given), so that no task gets more than that
     many of them per batch.
     """
     ways = ways or int(stream.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if ahead:
+        stream = state.latest_of_task(stream, columns, event_time)
     late = stream.withWatermark(event_time, delay)
     if spread_by is None:
         return late.dropDuplicatesWithinWatermark(list(columns))
